@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from evidentia.llm import mixing
+from evidentia.llm import mixing, url_filter
 
-QUERIES = {"op1_mixing": mixing.op1_mixing}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {
+    "op1_mixing": mixing.op1_mixing,
+    "op2_url_filter": url_filter.op2_url_filter,
+}
+ORACLE_SQL: dict[str, str] = {"op2_url_filter": url_filter.OP2_SQL}
