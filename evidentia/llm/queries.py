@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from evidentia.llm import mixing, quality_rules, token_counts, url_filter
+from evidentia.llm import html_text, mixing, quality_rules, token_counts, url_filter
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_url_filter": url_filter.op2_url_filter,
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_quality_rules": quality_rules.op5_quality_rules,
+    "op9_html_text": html_text.op9_html_text,
 }
 ORACLE_SQL: dict[str, str] = {"op2_url_filter": url_filter.OP2_SQL}
