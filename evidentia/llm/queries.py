@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from evidentia.llm import html_text, mixing, quality_rules, token_counts, url_filter
+from evidentia.llm import fingerprints, html_text, mixing, quality_rules, token_counts, url_filter
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_url_filter": url_filter.op2_url_filter,
+    "op3_fingerprints": fingerprints.op3_fingerprints,
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op9_html_text": html_text.op9_html_text,
