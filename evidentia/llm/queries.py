@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from evidentia.llm import fingerprints, html_text, mixing, quality_rules, token_counts, url_filter
+from evidentia.llm import fingerprints, html_text, mixing, near_dedup, quality_rules, token_counts, url_filter
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_fingerprints": fingerprints.op3_fingerprints,
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_quality_rules": quality_rules.op5_quality_rules,
+    "op7_near_dedup": near_dedup.op7_near_dedup,
     "op9_html_text": html_text.op9_html_text,
 }
 ORACLE_SQL: dict[str, str] = {"op2_url_filter": url_filter.OP2_SQL}
