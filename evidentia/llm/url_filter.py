@@ -17,6 +17,7 @@ of the universe.  Beyond ``MOST_RULES`` rules the lookup is a join instead.
 
 from __future__ import annotations
 
+import json
 import math
 from typing import NamedTuple
 
@@ -43,6 +44,11 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.coalesce(host, F.lit("")), F.coalesce(path, F.lit(""))
 
 
+def _strings(spark: SparkSession, values: list[str]) -> DataFrame:
+    """A row (key) for each value, made by the JVM from one literal."""
+    return spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(values)), "array<string>")).alias("key"))
+
+
 def _shape(rule: str) -> tuple[int, int]:
     host, _, path = rule.partition("/")
     return host.count(".") + 1, len(path) + 1
@@ -96,7 +102,7 @@ def build_cascade(listed: list[str], universe: DataFrame, n_universe: int, bits:
     """
     spark = universe.sparkSession
     bits = bits or max(4.0, 1.44 * math.log2(max(2.0, n_universe / max(1, len(listed)))) + 2)
-    yes = spark.createDataFrame([(k,) for k in listed], "key string")
+    yes = _strings(spark, listed)
     levels = [build_level(yes, 1, len(listed), bits)]
     not_listed = universe.filter(might_hold(F.col("key"), 1, levels[0])).join(yes, "key", "left_anti")
     no = stored(not_listed.distinct(), "mistaken")
@@ -142,7 +148,7 @@ def filter_urls(pages: DataFrame, rules: dict[str, str], default: str = "allow")
     n = universe.agg(F.approx_count_distinct("key")).first()[0]
     is_rule = build_cascade(list(rules), universe, n)
     blocking = [r for r, v in rules.items() if v == "block"]
-    all_rules = spark.createDataFrame([(r,) for r in rules], "key string")
+    all_rules = _strings(spark, list(rules))
     blocks = build_cascade(blocking, all_rules, len(rules)) if blocking else []
     rule = F.try_element_at(F.filter("__keys", lambda k: in_cascade(k, is_rule)), F.lit(1))
     d = d.withColumn("__rule", rule)
@@ -157,7 +163,9 @@ def _named(d: DataFrame) -> DataFrame:
 
 def _joined(spark: SparkSession, d: DataFrame, rules: dict[str, str], default: str) -> DataFrame:
     """The same by one equi-join for each key of a url, for lists too long for a literal."""
-    listed = spark.createDataFrame([*rules.items()], "key string, __action string")
+    blocking = _strings(spark, [r for r, v in rules.items() if v == "block"]).withColumn("__action", F.lit("block"))
+    allowing = _strings(spark, [r for r, v in rules.items() if v != "block"]).withColumn("__action", F.lit("allow"))
+    listed = blocking.unionByName(allowing)
     d = d.withColumn("__row", F.monotonically_increasing_id())
     d = stored(d, "keyed")
     hits = d.select("__row", F.explode("__keys").alias("key")).join(listed, "key")
