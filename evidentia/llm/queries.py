@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from evidentia.llm import fingerprints, html_text, mixing, near_dedup, quality_rules, token_counts, url_filter
+from evidentia.llm import fingerprints, html_text, mixing, near_dedup, quality_rules, suffix_dedup, token_counts, url_filter
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -12,5 +12,6 @@ QUERIES = {
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op7_near_dedup": near_dedup.op7_near_dedup,
     "op9_html_text": html_text.op9_html_text,
+    "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 ORACLE_SQL: dict[str, str] = {"op2_url_filter": url_filter.OP2_SQL}
