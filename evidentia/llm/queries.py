@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from evidentia.llm import fingerprints, html_text, mixing, near_dedup, quality_rules, suffix_dedup, token_counts, url_filter
+from evidentia.llm import fingerprints, html_text, mixing, near_dedup, packing, quality_rules, suffix_dedup, token_counts, url_filter
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_fingerprints": fingerprints.op3_fingerprints,
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_quality_rules": quality_rules.op5_quality_rules,
+    "op6_packing": packing.op6_packing,
     "op7_near_dedup": near_dedup.op7_near_dedup,
     "op9_html_text": html_text.op9_html_text,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
