@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from evidentia.llm import fingerprints, html_text, mixing, near_dedup, packing, quality_rules, suffix_dedup, token_counts, url_filter
+from evidentia.llm import fingerprints, html_text, mixing, near_dedup, packing, quality_classifier, quality_rules, suffix_dedup, token_counts, url_filter
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_packing": packing.op6_packing,
     "op7_near_dedup": near_dedup.op7_near_dedup,
+    "op8_quality_classifier": quality_classifier.op8_quality_classifier,
     "op9_html_text": html_text.op9_html_text,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
