@@ -141,7 +141,7 @@ def _counts(docs: DataFrame, votes: DataFrame, first: np.ndarray | None, limit:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, total = Vocabulary(), np.zeros((4, BUCKETS))
         for b in batches:
-            good, vote = b["good"].fillna(False).to_numpy(bool), b["vote"].fillna(0).to_numpy(float)
+            good, vote = b["good"].to_numpy(bool), b["vote"].to_numpy(float)
             at = 0
             for g in grams(b["text"].tolist(), known):
                 here = slice(at, at + len(g.size))
@@ -159,7 +159,7 @@ def _counts(docs: DataFrame, votes: DataFrame, first: np.ndarray | None, limit:
         some = np.flatnonzero(total[0])
         yield pd.DataFrame({"bucket": some, **{c: total[i, some] for i, c in enumerate(("raw", "target", "target_votes", "all_votes"))}})
 
-    d = docs.join(votes, docs["doc_id"] == votes["labelled_id"], "left").select("text", "good", "vote")
+    d = docs.join(votes, docs["doc_id"] == votes["labelled_id"], "left").select("text", F.coalesce("good", F.lit(False)).alias("good"), F.coalesce("vote", F.lit(0.0)).alias("vote"))
     parts = d.mapInPandas(run, "bucket long, raw double, target double, target_votes double, all_votes double")
     return parts.groupBy("bucket").agg(*(F.sum(c).alias(c) for c in ("raw", "target", "target_votes", "all_votes")))
 
