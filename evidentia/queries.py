@@ -2,5 +2,12 @@
 
 from __future__ import annotations
 
+from evidentia.catalog import planning
+
+_FAMILIES = (planning,)
+
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
+for _family in _FAMILIES:
+    QUERIES |= _family.QUERIES
+    ORACLE_SQL |= _family.ORACLE_SQL
