@@ -95,7 +95,7 @@ def safe_paper_ids(spark, sf_dir):
 def signal_scores(spark, sf_dir):
     d = P.classify(papers(spark, sf_dir), PROSE)
     scores = F.map_concat("classification.domain_scores", "classification.mode_scores")
-    return d.select("paper_id", F.explode(scores).alias("profile", "score"))
+    return d.select("paper_id", F.explode_outer(scores).alias("profile", "score"))
 
 
 def _classified(spark, sf_dir, p):
@@ -108,7 +108,7 @@ def _selected(spark, sf_dir, p):
 
 def chunk_scores(spark, sf_dir):
     d = P.scored(P.classify(papers(spark, sf_dir), PROSE), PROSE)
-    return d.select("paper_id", F.posexplode("scores").alias("at", "score")).select("paper_id", (F.col("at") + 1).alias("ordinal"), "score")
+    return C.unnest(d, F.transform("scores", lambda s, i: F.struct((i + 1).alias("ordinal"), s.alias("score"))), "ordinal")
 
 
 def coverage_ledger(spark, sf_dir):

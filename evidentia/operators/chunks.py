@@ -45,8 +45,17 @@ def papers(sources: DataFrame, paper_id: str, content: str, pages: Column) -> Da
     return d.select("paper_id", "source_sha256", F.transform("pages", chunk).alias("chunks"))
 
 
+def unnest(papers_: DataFrame, structs: Column, key: str) -> DataFrame:
+    """paper_id and the fields of an array of structs, a row for each whose ``key`` isn't null.
+
+    An outer generator: for an inner one the optimizer infers a filter on the array and,
+    pushing it down, writes the array's expression out once for every use of its parts.
+    """
+    return papers_.select("paper_id", F.inline_outer(structs)).filter(F.col(key).isNotNull())
+
+
 def chunk_rows(papers_: DataFrame) -> DataFrame:
-    return papers_.select("paper_id", F.inline("chunks"))
+    return unnest(papers_, F.col("chunks"), "chunk_id")
 
 
 def paper_ids(paths: DataFrame, path: str = "path") -> DataFrame:
@@ -75,4 +84,4 @@ def violations(papers_: DataFrame) -> DataFrame:
         "page_range": F.exists(c, lambda x: (x["page_start"] < 1) | (x["page_end"] < x["page_start"])),
     }
     broken = F.filter(F.array(*(F.when(test, F.lit(name)) for name, test in rules.items())), lambda x: x.isNotNull())
-    return papers_.select(F.explode(broken).alias("rule"), "paper_id", F.size(c).alias("chunk_count"))
+    return papers_.select("paper_id", F.size(c).alias("chunk_count"), F.explode_outer(broken).alias("rule")).filter("rule is not null")

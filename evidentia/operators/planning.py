@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from evidentia.functions.profiles import ALIASES, KEYWORDS, SCIENCE, Profiles
 from evidentia.functions.text import LABEL_SEPARATORS, collapse, fold, let, normalize, occurrences
+from evidentia.operators.chunks import unnest
 
 
 def _texts(values: tuple[str, ...]) -> Column:
@@ -80,13 +81,14 @@ def scored(papers: DataFrame, p: Profiles = SCIENCE) -> DataFrame:
     """
     read = lambda values: _texts(tuple(map(_signal, values)))
     pick = lambda key, among: F.coalesce(*(F.when(F.col(key) == x, read(s)) for x, s in among.items()))
-    d = papers.withColumns({"__domain": pick("classification.domain", p.domains), "__mode": pick("classification.mode", p.modes)})
+    signals = F.struct(pick("classification.domain", p.domains).alias("domain"), pick("classification.mode", p.modes).alias("mode"))
 
-    def score(c: Column) -> Column:
-        of = lambda t: F.when(F.startswith(t, F.lit("references ")), -1000).otherwise(2 * _weighted(t, F.col("__domain")) + 4 * _weighted(t, F.col("__mode")) + _weighted(t, read(p.generic)))
-        return let(normalize(c["text"]), of)
+    def score(text: Column, s: Column) -> Column:
+        of = lambda t: F.when(F.startswith(t, F.lit("references ")), -1000).otherwise(2 * _weighted(t, s["domain"]) + 4 * _weighted(t, s["mode"]) + _weighted(t, read(p.generic)))
+        return let(normalize(text), of)
 
-    return d.withColumn("scores", F.transform("chunks", score)).drop("__domain", "__mode")
+    # bound once a paper: a column named inside the lambda would be worked out for every chunk
+    return papers.withColumn("scores", let(signals, lambda s: F.transform("chunks", lambda c: score(c["text"], s))))
 
 
 def select(papers: DataFrame, max_chunks: int = 4, ordinals: tuple[int, ...] | None = None) -> DataFrame:
@@ -117,13 +119,13 @@ def selected_rows(planned: DataFrame) -> DataFrame:
     """(paper_id, chunk_id, ordinal, score): a row for each selected chunk."""
     each = F.arrays_zip(F.transform("chunks", lambda c: c["chunk_id"]).alias("chunk_id"), F.transform("chunks", lambda c: c["ordinal"]).alias("ordinal"), F.col("scores").alias("score"))
     kept = F.filter(each, lambda x: F.array_contains(F.col("selected"), x["ordinal"]))
-    return planned.select("paper_id", F.inline(kept))
+    return unnest(planned, kept, "ordinal")
 
 
 def coverage(planned: DataFrame) -> DataFrame:
     """(paper_id, chunk_id, status): extracted for selected chunks, not_selected for the others."""
     status = lambda c: F.when(F.array_contains(F.col("selected"), c["ordinal"]), "extracted").otherwise("not_selected")
-    return planned.select("paper_id", F.inline(F.transform("chunks", lambda c: F.struct(c["chunk_id"].alias("chunk_id"), status(c).alias("status")))))
+    return unnest(planned, F.transform("chunks", lambda c: F.struct(c["chunk_id"].alias("chunk_id"), status(c).alias("status"))), "chunk_id")
 
 
 def resolve_plan(plans: DataFrame, chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
