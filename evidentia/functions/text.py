@@ -10,6 +10,7 @@ from decimal import Decimal
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Marks that profile matching treats as blanks (fixed values).
 SEPARATORS = "_-/;,|:()[]{}"
@@ -89,12 +90,12 @@ def ratio4(n: Column, d: Column, empty: float = 1.0) -> Column:
     return F.bround(F.when(d == 0, F.lit(empty)).otherwise(n.cast("double") / d), 4)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def casefold(text: pd.Series) -> pd.Series:
     return text.map(str.casefold, na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     return text.map(lambda x: unicodedata.normalize("NFKC", x), na_action="ignore")
 

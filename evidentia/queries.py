@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from evidentia.catalog import planning
+from evidentia.catalog import evidence, planning
 
-_FAMILIES = (planning,)
+_FAMILIES = (planning, evidence)
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
