@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from evidentia.catalog import evidence, planning
+from evidentia.catalog import evidence, planning, runs
 
-_FAMILIES = (planning, evidence)
+_FAMILIES = (planning, evidence, runs)
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
