@@ -92,7 +92,7 @@ def fingerprint(docs: DataFrame, k: int = K, s: int = S) -> DataFrame:
     """
     text = F.coalesce("text", F.lit(""))
     a = docs.select("doc_id", text.alias("text"), anchors(text, k, s).alias("fp"))
-    ids = stored(next_ids(docs), "next")
+    ids = stored(next_ids(docs), "next", compact=True)
     following = a
     if ids.count() != docs.count():
         following = a.groupBy("doc_id").agg(F.min_by(F.struct("text", "fp"), "text").alias("b")).select("doc_id", "b.text", "b.fp")

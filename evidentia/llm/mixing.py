@@ -70,7 +70,7 @@ def _slots(targets: DataFrame, block: Column) -> DataFrame:
     t = t.withColumn("quota", F.floor(F.col("take") / F.col("source_size")) * F.col("n_blocks") + F.ceil(F.col("rest") / F.col("b")))
     above = F.sum("quota").over(Window.partitionBy(F.lit(0)).orderBy("src"))
     t = t.withColumn("all", F.sum("quota").over(everything)).withColumn("hi", above / F.col("all")).withColumn("lo", (above - F.col("quota")) / F.col("all"))
-    t = stored(t, "quotas")
+    t = stored(t, "quotas", compact=True)
     n = t.agg(F.max("all")).first()[0] or 0
 
     cells = t.withColumn("cell", F.explode(F.sequence(F.floor(F.col("lo") * _CELLS), F.least(F.floor(F.col("hi") * _CELLS), F.lit(_CELLS - 1)))))
@@ -80,7 +80,7 @@ def _slots(targets: DataFrame, block: Column) -> DataFrame:
 
     counts = points.groupBy("src", "chunk").agg(F.count("*").alias("here"))
     running = Window.partitionBy("src").orderBy("chunk")
-    counts = stored(counts.withColumn("first", F.sum("here").over(running) - F.col("here")), "chunks")
+    counts = stored(counts.withColumn("first", F.sum("here").over(running) - F.col("here")), "chunks", compact=True)
     rank = F.col("first") + F.row_number().over(Window.partitionBy("src", "chunk").orderBy("slot")) - 1
     ranked = points.join(counts, ["src", "chunk"]).withColumn("rank", rank).select("slot", "src", "rank")
 
@@ -107,7 +107,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, c
     targets = source_targets(sizes, weights, cap, cover).withColumn("take", F.floor(F.col("target") + 0.5))
     total = F.sum("source_size").over(Window.partitionBy(F.lit(0)))
     block = F.greatest(F.lit(least_block).cast("long"), F.ceil(total / slots))
-    targets = stored(targets.withColumn("b", block), "targets")
+    targets = stored(targets.withColumn("b", block), "targets", compact=True)
     schedule = _slots(targets, F.col("b"))
 
     key = F.xxhash64(F.lit(seed), "doc_id").bitwiseAND(F.lit(2**63 - 1))

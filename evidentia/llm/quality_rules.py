@@ -134,7 +134,7 @@ def judge(docs: DataFrame, class_limit: tuple[float, float] = (0.05, 4.5), word_
 
     def reference(of: DataFrame) -> DataFrame:
         sums = of.groupBy("lang").agg(*(F.sum(F.element_at("hist", i + 1).cast("long")).alias(f"h{i}") for i in range(width)))
-        return stored(sums.select(F.col("lang").alias("ref_lang"), F.array(*(f"h{i}" for i in range(width))).alias("ref")), "reference")
+        return stored(sums.select(F.col("lang").alias("ref_lang"), F.array(*(f"h{i}" for i in range(width))).alias("ref")), "reference", compact=True)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         zero = np.zeros(width)

@@ -262,7 +262,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     distinct = stored(distinct, "contents")
     copied = found.join(distinct.filter("n > 1").select("label", "content"), ["label", "content"]).select("key", "lo", "hi")
     several = distinct.groupBy("label").agg(F.count("*").alias("contents"), F.sum(F.col("hi") - F.col("lo") + length).alias("bytes"), F.max("own").alias("own")).filter("contents > 1 or own").drop("own")
-    several = stored(several, "labels")
+    several = stored(several, "labels", compact=True)
     shards = max(1, (several.agg(F.sum("bytes")).first()[0] or 0) // SHARD)
     wanted = distinct.join(several, "label").withColumn("split", F.ceil(F.col("contents") / SPLIT).cast("int"))
     shard = F.when(F.col("split") > 1, F.xxhash64("label", F.pmod(F.col("content"), F.col("split")))).otherwise(F.pmod(F.xxhash64("label"), F.lit(shards)))
@@ -289,7 +289,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     pieces = pieces.repartition("shard").sortWithinPartitions("shard", "label")
     hits = pieces.mapInPandas(search, "key long, lo int, hi int, label long, h1 long, h2 long, single boolean")
     if several.filter(F.col("contents") > SPLIT).limit(1).count():
-        hits = stored(hits, "hits")
+        hits = stored(hits, "hits", compact=True)
         runs = hits.filter("h1 is not null").withColumn("slice", F.shiftright("h1", 52))
         runs = runs.repartition("label", "slice").sortWithinPartitions("label", "slice")
         merged = runs.mapInPandas(_merge, "key long, lo int, hi int")

@@ -105,13 +105,13 @@ def build_cascade(listed: list[str], universe: DataFrame, n_universe: int, bits:
     yes = _strings(spark, listed)
     levels = [build_level(yes, 1, len(listed), bits)]
     not_listed = universe.filter(might_hold(F.col("key"), 1, levels[0])).join(yes, "key", "left_anti")
-    no = stored(not_listed.distinct(), "mistaken")
+    no = stored(not_listed.distinct(), "mistaken", compact=True)
     n = no.count()
     while n:
         level = len(levels) + 1
         wrong, other = (no, yes) if level % 2 == 0 else (yes, no)
         levels.append(build_level(wrong, level, n, 8.0))
-        still = stored(other.filter(might_hold(F.col("key"), level, levels[-1])), f"level{level}")
+        still = stored(other.filter(might_hold(F.col("key"), level, levels[-1])), f"level{level}", compact=True)
         if level % 2 == 0:
             yes = still
         else:
