@@ -267,7 +267,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     wanted = distinct.join(several, "label").withColumn("split", F.ceil(F.col("contents") / SPLIT).cast("int"))
     shard = F.when(F.col("split") > 1, F.xxhash64("label", F.pmod(F.col("content"), F.col("split")))).otherwise(F.pmod(F.xxhash64("label"), F.lit(shards)))
     asked = F.struct("lo", "hi", "label", shard.alias("shard"), (F.col("n") > 1).alias("copied"), (F.col("split") > 1).alias("split"))
-    wanted = wanted.groupBy("key").agg(F.collect_list(asked).alias("w")).select("key", *(F.col(f"w.{c}").alias(f"__{c}") for c in ("lo", "hi", "label", "shard", "copied", "split")))
+    wanted = wanted.groupBy("key").agg(F.collect_list(asked).alias("w")).select(F.col("key").alias("__of"), *(F.col(f"w.{c}").alias(f"__{c}") for c in ("lo", "hi", "label", "shard", "copied", "split")))
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -283,7 +283,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             yield _search(list(group), length)
 
     # both joins of the texts have the same columns, so that one exchange serves them
-    mine = docs.join(wanted, docs["__key"] == wanted["key"]).drop("key")
+    mine = docs.join(wanted, F.col("__key") == F.col("__of")).drop("__of")
     asked = mine.select("__key", "text", "__lo", "__hi", "__label", "__shard", "__copied", "__split")
     pieces = asked.mapInPandas(fetch, "key long, lo int, label long, shard long, copied boolean, split boolean, data binary")
     pieces = pieces.repartition("shard").sortWithinPartitions("shard", "label")
@@ -296,8 +296,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         spans = copied.unionByName(hits.filter("h1 is null").select("key", "lo", "hi")).unionByName(merged)
     else:
         spans = copied.unionByName(hits.select("key", "lo", "hi"))
-    spans = spans.groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("s")).select("key", F.col("s.lo").alias("__lo"), F.col("s.hi").alias("__hi"))
-    return docs.join(spans, docs["__key"] == spans["key"], "left").drop("key")
+    spans = spans.groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("s")).select(F.col("key").alias("__of"), F.col("s.lo").alias("__lo"), F.col("s.hi").alias("__hi"))
+    return docs.join(spans, F.col("__key") == F.col("__of"), "left").drop("__of")
 
 
 def _search(rows: list, length: int) -> pd.DataFrame:
