@@ -37,7 +37,8 @@ def append_chunks(sources: DataFrame, target: str, checkpoint: str, paper_id: st
 
 def windowed(events: DataFrame, width: str = "1 hour", late: str = "2 hours") -> DataFrame:
     """Counts and sums of events (ts, event_type, value) by tumbling window and type; works on streams and on tables."""
-    d = events.withWatermark("ts", late) if events.isStreaming else events
+    d = events.withColumn("ts", F.col("ts").cast("timestamp"))  # watermarks need an instant
+    d = d.withWatermark("ts", late) if events.isStreaming else d
     g = d.groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 3).alias("total"))
     return g.select(F.col("window.start").alias("window_start"), "event_type", "n", "total")
 
