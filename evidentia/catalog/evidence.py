@@ -137,7 +137,7 @@ def _lines(spark, sf_dir):
 
 
 _BY = ["source", "lang", "key"]
-_ORDER = [-F.length("line"), F.col("id")]
+_ORDER = lambda: [-F.length("line"), F.col("id")]
 
 
 def canonical_groups(spark, sf_dir):
@@ -145,12 +145,12 @@ def canonical_groups(spark, sf_dir):
 
 
 def representatives(spark, sf_dir):
-    d = K.representatives(_lines(spark, sf_dir), _BY, _ORDER, "id").filter("n > 1")
+    d = K.representatives(_lines(spark, sf_dir), _BY, _ORDER(), "id").filter("n > 1")
     return d.select("source", "lang", F.sha2("key", 256).alias("digest"), "surviving", "n")
 
 
 def merge_decisions(spark, sf_dir):
-    d = K.merge_decisions(_lines(spark, sf_dir), _BY, _ORDER, "id")
+    d = K.merge_decisions(_lines(spark, sf_dir), _BY, _ORDER(), "id")
     return d.select("source", "lang", F.sha2("key", 256).alias("digest"), "surviving", F.array_join("merged", ",").alias("merged"))
 
 

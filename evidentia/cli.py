@@ -52,7 +52,7 @@ def extract(spark: SparkSession, a: argparse.Namespace) -> int:
     from evidentia.sources import inputs, sinks
 
     prices = reporting.pricing(a.input_usd_per_million_tokens, a.output_usd_per_million_tokens, a.pricing_as_of)
-    out = a.output_folder or f"{a.paper_folder.rstrip('/')}/.odracir/paper-study-2.2"
+    out = a.output_folder or f"{a.paper_folder.rstrip('/')}/{inputs.STATE_FOLDER}/paper-study-2.2"
     report = a.report_folder or f"{out.rstrip('/')}-report"
     sinks.require_apart(out, report)
     for folder in (out, report):

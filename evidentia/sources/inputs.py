@@ -17,9 +17,9 @@ from evidentia.schemas import ARTIFACT
 #: Keys of an index entry that may hold its path or id; the first that is there counts (fixed values).
 PATH_KEYS = ("source_path", "chunk_path", "chunk_artifact", "artifact_path", "path", "file")
 ID_KEYS = ("paper_id", "id")
-#: Folder and file names by which inputs are found (fixed values).
-STATE_FOLDER = ".odracir"
-INDEX_NAME = "odracir_index.json"
+#: The hidden folder of a run's own files, and the index a folder of papers may hold; both are parameters of the functions below.
+STATE_FOLDER = ".evidentia"
+INDEX_NAME = "evidentia_index.json"
 
 
 def _files(spark: SparkSession, path: str) -> list[str]:
@@ -72,10 +72,10 @@ def index_entries(payload: object) -> list[dict]:
     return sorted(out, key=lambda e: (e["paper_id"].casefold(), e["source_path"]))
 
 
-def discover(spark: SparkSession, folder: str, index: str | None = None) -> DataFrame:
+def discover(spark: SparkSession, folder: str, index: str | None = None, index_name: str = INDEX_NAME, state: str = STATE_FOLDER) -> DataFrame:
     """(paper_id, source_path, metadata): from the index given, else the folder's own, else its chunk artifacts."""
     files = _files(spark, folder)
-    own = f"/{INDEX_NAME}"
+    own = f"/{index_name}"
     index = index or next((f for f in files if f.endswith(own) and f[: -len(own)].endswith(folder.rstrip("/").rpartition("/")[2])), None)
     if index:
         entries = index_entries(json.loads("\n".join(r[0] for r in spark.read.text(index, wholetext=True).collect())))
@@ -83,7 +83,7 @@ def discover(spark: SparkSession, folder: str, index: str | None = None) -> Data
             if "://" not in e["source_path"] and not e["source_path"].startswith("/"):
                 e["source_path"] = f"{folder.rstrip('/')}/{e['source_path']}"
         return spark.createDataFrame([(e["paper_id"], e["source_path"], e["metadata"]) for e in entries], "paper_id string, source_path string, metadata map<string,string>")
-    found = [f for f in files if f.endswith(".json") and f"/{STATE_FOLDER}/chunks/" in f] or [f for f in files if f.endswith(".json") and "/chunks/" in f]
+    found = [f for f in files if f.endswith(".json") and f"/{state}/chunks/" in f] or [f for f in files if f.endswith(".json") and "/chunks/" in f]
     if not found:
         raise ValueError(f"no papers in {folder}")
     return artifacts(spark, found).select("paper_id", F.input_file_name().alias("source_path"), F.create_map().cast("map<string,string>").alias("metadata"))
@@ -126,10 +126,10 @@ def pdf_text(content: bytes) -> list[str]:
     return pages
 
 
-def pdf_papers(spark: SparkSession, folder: str, parse: Callable[[bytes], list[str]] = pdf_text) -> DataFrame:
+def pdf_papers(spark: SparkSession, folder: str, parse: Callable[[bytes], list[str]] = pdf_text, state: str = STATE_FOLDER) -> DataFrame:
     """Papers of the PDF files under a folder, hidden state folders left out."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.[pP][dD][fF]").load(folder)
-    files = files.filter(~F.contains("path", F.lit(f"/{STATE_FOLDER}/"))).select("path", F.sha2("content", 256).alias("sha"), "content")
+    files = files.filter(~F.contains("path", F.lit(f"/{state}/"))).select("path", F.sha2("content", 256).alias("sha"), "content")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

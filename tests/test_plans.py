@@ -129,9 +129,9 @@ def pdf(*pages):
 
 
 def test_pdf_folder(spark, tmp_path):
-    (tmp_path / "sub" / ".odracir").mkdir(parents=True)
+    (tmp_path / "sub" / ".evidentia").mkdir(parents=True)
     (tmp_path / "Paper One.pdf").write_bytes(pdf("Abstract of it", "", "second (page)".replace("(", r"\(").replace(")", r"\)")))
-    (tmp_path / "sub" / ".odracir" / "x.pdf").write_bytes(pdf("hidden"))
+    (tmp_path / "sub" / ".evidentia" / "x.pdf").write_bytes(pdf("hidden"))
     rows = chunks.chunk_rows(inputs.pdf_papers(spark, str(tmp_path))).orderBy("ordinal").collect()
     assert [(r.paper_id, r.page_start, r.text, r.section_hint) for r in rows] == [("Paper-One", 1, "Abstract of it", "abstract"), ("Paper-One", 3, "second (page)", "page")]
 
@@ -139,7 +139,7 @@ def test_pdf_folder(spark, tmp_path):
 def test_discover(spark, tmp_path):
     with pytest.raises(ValueError):
         inputs.discover(spark, str(tmp_path))
-    (tmp_path / "odracir_index.json").write_text(json.dumps([{"id": "z", "path": "a.json"}]))
+    (tmp_path / "evidentia_index.json").write_text(json.dumps([{"id": "z", "path": "a.json"}]))
     r = inputs.discover(spark, str(tmp_path)).first()
     assert r.paper_id == "z" and r.source_path == f"{tmp_path}/a.json"
 

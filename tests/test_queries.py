@@ -54,3 +54,12 @@ def test_entry_and_names(spark):
 
     assert e.entry(spark).columns == ["paper_id", "chunk_id", "ordinal", "score"]
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_import_needs_no_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; e.queries(); e.oracle_sql(); import evidentia.cli, evidentia.plans.export, evidentia.streaming.ingest"], cwd=root, check=True)
