@@ -196,8 +196,9 @@ def test_stream_adds_once(spark, tmp_path):
 
 
 def test_windows_equal_batch(spark, tmp_path):
-    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    q = ingest.windowed(spark.readStream.schema(events.schema).parquet("/root/testdata/sf0.001/events.parquet")).writeStream.outputMode("complete").format("memory").queryName("w").trigger(availableNow=True).start()
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").write.parquet(str(tmp_path / "events"))
+    events = spark.read.parquet(str(tmp_path / "events"))
+    q = ingest.windowed(spark.readStream.schema(events.schema).parquet(str(tmp_path / "events"))).writeStream.outputMode("complete").format("memory").queryName("w").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted(map(tuple, spark.table("w").collect())) == sorted(map(tuple, ingest.windowed(events).collect()))
     assert ingest.sessions(events).agg(F.sum("n")).first()[0] == events.count()
