@@ -1,4 +1,4 @@
-"""Commands: extract packets from a folder of PDFs, export evidence bundles."""
+"""Commands: extract packets from a folder of PDFs, export evidence bundles, recover a failed run."""
 
 from __future__ import annotations
 
@@ -43,9 +43,20 @@ def parser() -> argparse.ArgumentParser:
     e.add_argument("--horizon", choices=("long", "short"))
     e.add_argument("--group")
     e.add_argument("--paper-id")
+    r = commands.add_parser("recover-failed")
+    for name in ("--source-report", "--paper-folder", "--delivery-folder", "--audit-folder", "--provider"):
+        r.add_argument(name, required=True)
+    r.add_argument("--paper-id", action="append")
+    r.add_argument("--allow-source-change", action="store_true")
+    r.add_argument("--validation-retries", type=_number(int, 0), default=3)
     return p
 
 
+def _provider(name: str) -> Callable:
+    module, _, attribute = name.partition(":")
+    return getattr(importlib.import_module(module), attribute)
+
+
 def extract(spark: SparkSession, a: argparse.Namespace) -> int:
     from evidentia.operators import planning, reporting
     from evidentia.plans import extraction
@@ -62,8 +73,7 @@ def extract(spark: SparkSession, a: argparse.Namespace) -> int:
         papers = inputs.artifact_papers(inputs.artifacts(spark, [r[0] for r in entries.select("source_path").collect()]))
     else:
         papers = inputs.pdf_papers(spark, a.paper_folder)
-    module, _, name = a.provider.partition(":")
-    make = getattr(importlib.import_module(module), name)
+    make = _provider(a.provider)
     o = extraction.Options(a.validation_retries, a.max_tokens, a.minimum_quality_score)
     records = extraction.run(planning.plan(papers, max_chunks=a.max_chunks), make, o=o).cache()  # paid calls are made once
     cost = reporting.estimated_cost(F.col("prompt_tokens"), F.col("completion_tokens"), *prices)
@@ -86,12 +96,22 @@ def export(spark: SparkSession, a: argparse.Namespace) -> int:
     return 0
 
 
+def recover(spark: SparkSession, a: argparse.Namespace) -> int:
+    from evidentia.plans import extraction, recovery
+    from evidentia.sources import inputs
+
+    papers = inputs.pdf_papers(spark, a.paper_folder)
+    out = recovery.recover(spark, a.source_report, papers, a.delivery_folder, a.audit_folder, _provider(a.provider), a.paper_id, a.allow_source_change, extraction.Options(a.validation_retries))
+    print(out)
+    return int(out["status"] == "partial")
+
+
 def main(argv: list[str] | None = None) -> int:
     """0: done; 1: some papers failed; 2: wrong use or input."""
     a = parser().parse_args(argv)
     spark = SparkSession.builder.appName("evidentia").getOrCreate()
     try:
-        return {"extract-paper-study": extract, "export-ablation-evidence": export}[a.command](spark, a)
+        return {"extract-paper-study": extract, "export-ablation-evidence": export, "recover-failed": recover}[a.command](spark, a)
     except ValueError as e:
         print(e, file=sys.stderr)
         return 2

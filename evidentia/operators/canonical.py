@@ -106,10 +106,10 @@ def claim_keys(units: DataFrame, results: DataFrame) -> DataFrame:
     known = results.groupBy(*key).agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct(F.col("e.result_id"), F.col("canonical_id"))))).alias("ids"))
     c = c.join(known, key, "left")
     lookup = lambda b: F.coalesce(F.try_element_at("ids", b), F.raise_error(F.concat(F.lit("unknown basis "), b)).cast("string"))
-    basis = F.transform("e.inference_basis_ids", lookup)
+    c = c.withColumn("basis", F.transform("e.inference_basis_ids", lookup))
     words = scientific(F.col("e.statement"), False)
     parts = _named(
-        basis=F.when(F.size("e.inference_basis_ids") == 0, F.array(F.lit("no_result_basis"))).otherwise(basis), polarity=F.array("e.polarity"), proposition=F.array(words), protected_condition=conditions(words),
+        basis=F.when(F.size("basis") == 0, F.array(F.lit("no_result_basis"))).otherwise(F.col("basis")), polarity=F.array("e.polarity"), proposition=F.array(words), protected_condition=conditions(words),
     )
     return _keyed(c, "claim", F.col("unit_digest"), parts).drop("ids")
 
@@ -128,14 +128,23 @@ def merge_decisions(rows: DataFrame, by: list[str], order: list[Column], value:
     return rest.groupBy(*by, "surviving").agg(F.array_sort(F.collect_set(value)).alias("merged"))
 
 
-def canonical_results(packets: DataFrame) -> DataFrame:
-    """(paper_id, canonical_id, source_ids, representative): results by canonical identity.
+def standing(filled: Column, words: Column, provenance: bool = True) -> Column:
+    """What sorts entities ``e``: quoted provenance first, then most filled fields, then the longest text, then JSON without ids."""
+    prov = F.concat(F.array("e.provenance"), F.coalesce("e.additional_provenance", F.array())) if provenance else None
+    retold = F.forall(prov, lambda p: p["paraphrased"]).cast("int") if provenance else F.lit(0)
+    return F.struct(retold.alias("a"), (-filled).alias("b"), (-F.length(scientific(words, False))).alias("c"), F.to_json("e").alias("d"))
 
-    The one with quoted provenance, then most statistics, then the longest raw text stands for the others.
-    """
-    r = result_keys(unit_keys(packets))
-    prov = F.concat(F.array("e.provenance"), F.coalesce("e.additional_provenance", F.array()))
-    retold = F.forall(prov, lambda p: p["paraphrased"]).cast("int")
+
+def result_standing() -> Column:
     filled = sum((F.when(F.col(f"e.{c}").isNotNull(), 1).otherwise(0) for c in ("quantitative_value", "unit", "p_value", "n_sample_size")), F.lit(0))
-    order = F.struct(retold.alias("a"), (-filled).alias("b"), (-F.length(scientific(F.col("e.value_raw_text"), False))).alias("c"), F.to_json("e").alias("d"))
-    return r.groupBy("paper_id", "canonical_id").agg(F.array_sort(F.collect_set("e.result_id")).alias("source_ids"), F.min_by("e", order).alias("representative"))
+    return standing(filled, F.col("e.value_raw_text"))
+
+
+def claim_standing() -> Column:
+    return standing(F.size(F.array_distinct("e.inference_basis_ids")), F.col("e.statement"))
+
+
+def canonical_results(packets: DataFrame) -> DataFrame:
+    """(paper_id, canonical_id, source_ids, representative): results by canonical identity."""
+    r = result_keys(unit_keys(packets))
+    return r.groupBy("paper_id", "canonical_id").agg(F.array_sort(F.collect_set("e.result_id")).alias("source_ids"), F.min_by("e", result_standing()).alias("representative"))

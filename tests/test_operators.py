@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from evidentia.operators import canonical, chunks, clusters, crosswalk, ledger, planning, quality, recovery, repair, reporting, validation
+from evidentia.operators import canonical, chunks, clusters, crosswalk, ledger, merging, planning, quality, recovery, repair, reporting, validation
 from evidentia.schemas import PACKET
 
 
@@ -256,3 +256,38 @@ def test_object_digest_ignores_key_order(spark):
 def test_attempts(spark):
     d = reporting.attempts(spark.createDataFrame([(1, 5), (1, 2), (2, 1)], "c int, t int"), ["c"], "t")
     assert sorted((r.c, r.t, r.attempt, r.is_last) for r in d.collect()) == [(1, 2, 1, False), (1, 5, 2, True), (2, 1, 1, True)]
+
+
+def test_merging_keeps_everything_and_settles(spark):
+    p = packet()
+    u = p["research_questions"][0]["study_units"][0]
+    r = u["results"][0]
+    u["results"] = [r, r | {"result_id": "R2", "value_raw_text": " 1 ", "provenance": prov("c2", retold=True)}, r | {"result_id": "R3", "value_raw_text": "2"}]
+    u["claims"].append(u["claims"][0] | {"claim_id": "C2", "inference_basis_ids": ["R2"], "provenance": prov("c3")})
+    twin = json.loads(json.dumps(u)) | {"unit_id": "U2", "experiments_or_tasks": [" measure "]}
+    p["research_questions"][0]["study_units"].append(twin)
+    once = merging.canonicalize(table(spark, p)).first()
+    (unit,) = once.research_questions[0].study_units
+    assert len(unit.results) == 2 and len(unit.claims) == 1 and sorted(unit.experiments_or_tasks) == [" measure ", "measure"]
+    first = next(x for x in unit.results if x.value_raw_text.strip() == "1")
+    assert [q.chunk_id for q in (first.provenance, *first.additional_provenance)] == ["c1", "c2"] and unit.claims[0].inference_basis_ids == [first.result_id]
+    assert {len(m.merged_ids) for m in once.merge_decisions} == {1, 2} and len(once.merge_decisions) == 4
+    again = merging.canonicalize(merging.canonicalize(table(spark, p))).first()
+    assert again.research_questions == once.research_questions and again.merge_decisions == once.merge_decisions
+    p["research_questions"][0]["study_units"].reverse()
+    u["results"].reverse()
+    assert merging.canonicalize(table(spark, p)).first().research_questions == once.research_questions
+    bare = merging.canonicalize(table(spark, packet(research_questions=[]))).first()
+    assert bare.research_questions == [] and bare.merge_decisions == []
+
+
+def test_unknown_basis_stops_the_merge(spark):
+    p = packet()
+    p["research_questions"][0]["study_units"][0]["claims"][0]["inference_basis_ids"] = ["R9"]
+    with pytest.raises(Exception, match="unknown basis"):
+        merging.canonicalize(table(spark, p)).collect()
+
+
+def test_missing_rescue_is_noted_once(spark):
+    d = spark.createDataFrame([("causal_validation", "x", ["b"]), ("causal_validation", "a Rescue", []), ("contrastive", "x", []), ("causal_validation", "x", [merging.NO_RESCUE])], "m string, t string, b array<string>")
+    assert [len(r[0]) for r in d.select(merging.note_missing_rescue(F.col("b"), F.col("m"), F.col("t"))).collect()] == [2, 0, 0, 1]

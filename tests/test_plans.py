@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from evidentia import cli
 from evidentia.operators import chunks, planning
-from evidentia.plans import export, extraction as X
+from evidentia.plans import export, recovery
+from evidentia.plans import extraction as X
 from evidentia.sources import inputs, sinks
 from evidentia.streaming import ingest
 
@@ -202,3 +203,22 @@ def test_windows_equal_batch(spark, tmp_path):
     q.awaitTermination()
     assert sorted(map(tuple, spark.table("w").collect())) == sorted(map(tuple, ingest.windowed(events).collect()))
     assert ingest.sessions(events).agg(F.sum("n")).first()[0] == events.count()
+
+
+def test_recovery_adds_without_overwriting(spark, tmp_path):
+    d = spark.createDataFrame([("a", TEXT), ("b", "poison"), ("c", TEXT + " more"), ("d", TEXT)], "id string, text string")
+    papers = chunks.papers(d, "id", "text", chunks.line_pages(F.col("text")))
+    sha = {r.paper_id: r.source_sha256 for r in papers.collect()}
+    report = tmp_path / "papers.jsonl"
+    report.write_text("\n".join(json.dumps({"paper_id": k, "status": "succeeded" if k == "d" else "failed", "source_sha256": v}) for k, v in sha.items()))
+    delivery = str(tmp_path / "delivery")
+    spark.createDataFrame([("c", "old")], "paper_id string, value string").write.partitionBy("paper_id").text(delivery)
+    out = recovery.recover(spark, str(report), papers, delivery, str(tmp_path / "audit"), ByChunk)
+    assert out == {"status": "partial", "recovered": 1, "failed": 1, "present": 1}
+    assert {r.paper_id: r.value[:3] for r in spark.read.text(delivery).collect()}["c"] == "old" and spark.read.json(str(tmp_path / "audit" / "papers")).count() == 3
+    assert recovery.recover(spark, str(report), papers, delivery, str(tmp_path / "audit2"), ByChunk, ["a", "c"])["status"] == "no-op"
+    drifted = papers.withColumn("source_sha256", F.lit("x"))
+    with pytest.raises(ValueError):
+        recovery.recover(spark, str(report), drifted, str(tmp_path / "d2"), str(tmp_path / "audit3"), ByChunk)
+    with pytest.raises(ValueError):
+        recovery.recover(spark, str(report), papers, delivery, str(tmp_path / "audit4"), ByChunk, ["d"])
