@@ -46,8 +46,9 @@ def normalize(c: Column, separators: str = SEPARATORS) -> Column:
 
 
 def occurrences(text: Column, part: Column) -> Column:
-    """Non-overlapping occurrences of ``part`` in ``text``."""
-    return ((F.length(text) - F.length(F.replace(text, part, F.lit("")))) / F.length(part)).cast("int")
+    """Non-overlapping occurrences of ``part`` in ``text``; texts without any aren't rewritten to count them."""
+    some = ((F.length(text) - F.length(F.replace(text, part, F.lit("")))) / F.length(part)).cast("int")
+    return F.when(F.contains(text, part), some).otherwise(0)
 
 
 def section_hint(text: Column) -> Column:
