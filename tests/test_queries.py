@@ -1,6 +1,7 @@
 """The engine's queries against their SQL on the smallest tables."""
 
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 
@@ -45,7 +46,7 @@ def test_clusters_of_labels_are_complete(spark):
         keys = [int(k) for k in g.key]
         for i in keys:
             for j in keys:
-                a, b = v[i].astype(float), v[j].astype(float)
+                a, b = np.asarray(v[i], float), np.asarray(v[j], float)
                 assert i == j or a @ b / ((a @ a) * (b @ b)) ** 0.5 > 0.1999
 
 
