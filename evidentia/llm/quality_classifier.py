@@ -36,11 +36,13 @@ from evidentia.llm.common import read, stored
 BUCKETS = 1 << 17
 LABELLED = 200_000
 #: Words a task remembers before it starts over.
-_WORDS = 250_000
+_WORDS = 400_000
 _BYTES = 1_000_000
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
-_FORMS = [(re.compile(rb"[A-Z]+"), b"X"), (re.compile(rb"[a-z\x80-\xff]+"), b"x"), (re.compile(rb"[0-9]+"), b"0")]
+#: Letters and digits by kind; other bytes stay.
+_KINDS = bytes(ord("X") if 65 <= c <= 90 else ord("x") if 97 <= c <= 122 or c >= 128 else ord("0") if 48 <= c <= 57 else c for c in range(256))
+_RUN = re.compile(rb"([Xx0])\1+")
 
 
 class Model(NamedTuple):
@@ -55,17 +57,19 @@ class Vocabulary(dict):
         self.lower, self.shape, self.shapes = array("Q"), array("Q"), {}
 
     def __missing__(self, word: bytes) -> int:
-        form = word
-        for pattern, mark in _FORMS:
-            form = pattern.sub(mark, form)
+        kinds = word.translate(_KINDS)
+        shape = self.shapes.get(kinds)
+        if shape is None:
+            shape = self.shapes[kinds] = xxhash.xxh64_intdigest(_RUN.sub(rb"\1", kinds)[:12])
         self.lower.append(xxhash.xxh64_intdigest(word.lower()))
-        self.shape.append(xxhash.xxh64_intdigest(form[:12]))
+        self.shape.append(shape)
         n = self[word] = len(self)
         return n
 
     def start(self) -> None:
-        if len(self) > _WORDS:
+        if len(self) + len(self.shapes) > _WORDS:
             self.clear()
+            self.shapes.clear()
             self.lower, self.shape = array("Q"), array("Q")
 
 
@@ -191,7 +195,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, limit: flo
     """
     good = (F.col("quality") == 1) & (F.col("toxic") == 0)
     known = labels.filter("doc_id is not null and quality is not null and toxic is not null").groupBy(F.col("doc_id").alias("labelled_id")).agg(F.min(good).alias("good"))
-    known = stored(known, "labels")
+    known = stored(known, "labels", compact=True)
     n = known.count()
     if n > labelled:  # a threshold on hashed ids leaves the bound, less a margin for chance
         share = max(0.0, labelled - 6 * labelled**0.5) / n
@@ -207,9 +211,9 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, limit: flo
     texts = docs.select("doc_id", "text")
     groups = texts.join(small, texts["doc_id"] == small["labelled_id"]).select("labelled_id", "good", "text")
     kind = labels.schema["doc_id"].dataType.simpleString()
-    groups = stored(groups.mapInPandas(group, f"labelled_id {kind}, good boolean, group long").dropDuplicates(["labelled_id"]), "groups")
+    groups = stored(groups.mapInPandas(group, f"labelled_id {kind}, good boolean, group long").dropDuplicates(["labelled_id"]), "groups", compact=True)
     sizes = groups.groupBy("group", "good").agg(F.count("*").alias("n"))
-    votes = stored(groups.join(sizes, ["group", "good"]).select("labelled_id", "good", (1 / F.col("n")).alias("vote")), "votes")
+    votes = stored(groups.join(sizes, ["group", "good"]).select("labelled_id", "good", (1 / F.col("n")).alias("vote")), "votes", compact=True)
     votes = F.broadcast(votes)  # LABELLED rows at most
 
     total = votes.agg(F.sum(F.when(F.col("good"), F.col("vote"))), F.sum("vote"), F.count_if("good")).first()
