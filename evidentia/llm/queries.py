@@ -16,4 +16,8 @@ QUERIES = {
     "op9_html_text": html_text.op9_html_text,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
-ORACLE_SQL: dict[str, str] = {"op2_url_filter": url_filter.OP2_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op2_url_filter": url_filter.OP2_SQL,
+    "op7_near_dedup": near_dedup.OP7_SQL,
+    "op10_suffix_dedup": suffix_dedup.OP10_SQL,
+}

@@ -417,3 +417,20 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 def op10_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     """All documents without the bytes of repeated 200-byte strings."""
     return removed_bytes(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP10_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+starts AS (SELECT doc_id, i, sha256(substr(h, 2 * i + 1, 400)) AS s FROM (SELECT doc_id, h, unnest(generate_series(0, n - 200)) AS i FROM d WHERE n >= 200)),
+twice AS (SELECT s FROM starts GROUP BY s HAVING count(*) > 1),
+repeated AS (SELECT doc_id, i FROM starts SEMI JOIN twice USING (s)),
+marks AS (SELECT doc_id, i, CASE WHEN i > lag(i) OVER w + 200 OR lag(i) OVER w IS NULL THEN 1 ELSE 0 END AS new FROM repeated WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+grouped AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM marks),
+spans AS (SELECT doc_id, g, min(i) AS a, max(i) + 200 AS z FROM grouped GROUP BY 1, 2),
+gaps AS (SELECT doc_id, g, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS f, a AS t FROM spans
+         UNION ALL SELECT doc_id, 1000000000, max(z), NULL FROM spans GROUP BY 1),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * f + 1, 2 * (coalesce(t, n) - f)), '' ORDER BY f) AS k FROM gaps JOIN d USING (doc_id) GROUP BY 1),
+sums AS (SELECT doc_id, sum(z - a) AS removed, count(*) AS spans FROM spans GROUP BY 1)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)
+"""
