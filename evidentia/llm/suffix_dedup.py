@@ -145,7 +145,7 @@ def suffix_array(data: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.nd
     for i in range(7):
         big = big << np.uint64(8) | np.where(rest > i, padded[i : n + i], 0).astype(np.uint64)
     key = big << np.uint64(3) | np.minimum(rest, 7).astype(np.uint64)
-    sa = np.argsort(key, kind="stable")
+    sa = np.argsort(key)
     fresh = np.ones(n, bool)
     fresh[1:] = key[sa[1:]] != key[sa[:-1]]
     rank = np.empty(n, np.int64)
@@ -158,7 +158,7 @@ def suffix_array(data: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.nd
         at = sa[open_]
         own = rank[at]
         on = np.where(rest[at] > h, rank[np.minimum(at + h, n - 1)] + len(start), segment[at])
-        order = np.lexsort((on, own))
+        order = np.argsort(own * (n + len(start)) + on)  # one key for both
         at, own, on = at[order], own[order], on[order]
         sa[open_] = at
         differs = np.ones(len(at), bool)
