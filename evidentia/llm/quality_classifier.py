@@ -7,8 +7,8 @@ target text.  Documents are then sampled without replacement by Gumbel top-k: we
 ``temperature`` plus Gumbel noise, the k largest kept.
 
 There are two rounds.  Round 1 has n-grams of word shapes (case, digits and marks; pairs
-with whether the word repeats) and finds text of the wrong form.  Round 2 has words, its
-models made of documents that round 1 leaves, and finds wrong content in good form.
+with whether the word repeats) and finds text of the wrong form.  Round 2 has words and
+their beginnings, its models made of documents that round 1 leaves, and finds wrong content in good form.
 Models count documents, not occurrences.  Labelled copies of one text share one vote:
 their group is the least hash of their 3-word windows.
 
@@ -35,6 +35,8 @@ from evidentia.llm.common import read, stored
 
 BUCKETS = 1 << 17
 LABELLED = 200_000
+#: Lengths in bytes of the beginnings of words that count beside whole words: they catch inflected forms.
+HEADS = (4, 5)
 #: Words a task remembers before it starts over.
 _WORDS = 400_000
 _BYTES = 1_000_000
@@ -54,14 +56,16 @@ class Vocabulary(dict):
     """Numbers of words, and by number the hashes of the word in lower case and of its shape."""
 
     def __init__(self) -> None:
-        self.lower, self.shape, self.shapes = array("Q"), array("Q"), {}
+        self.lower, self.shape, self.heads, self.shapes = array("Q"), array("Q"), array("Q"), {}
 
     def __missing__(self, word: bytes) -> int:
         kinds = word.translate(_KINDS)
         shape = self.shapes.get(kinds)
         if shape is None:
             shape = self.shapes[kinds] = xxhash.xxh64_intdigest(_RUN.sub(rb"\1", kinds)[:12])
-        self.lower.append(xxhash.xxh64_intdigest(word.lower()))
+        plain = word.strip(b".,;:!?").lower()
+        self.lower.append(xxhash.xxh64_intdigest(plain))
+        self.heads.extend([xxhash.xxh64_intdigest(plain[:n]) for n in HEADS])
         self.shape.append(shape)
         n = self[word] = len(self)
         return n
@@ -70,7 +74,7 @@ class Vocabulary(dict):
         if len(self) + len(self.shapes) > _WORDS:
             self.clear()
             self.shapes.clear()
-            self.lower, self.shape = array("Q"), array("Q")
+            self.lower, self.shape, self.heads = array("Q"), array("Q"), array("Q")
 
 
 def _bucket(h: np.ndarray) -> np.ndarray:
@@ -83,9 +87,11 @@ class Grams(NamedTuple):
     of: np.ndarray  # document of each word
     lower: np.ndarray  # hash of each word
     shape: np.ndarray
+    heads: np.ndarray  # hashes of its beginnings, a row each
 
     def words(self) -> np.ndarray:
-        return _bucket(self.lower * _A)
+        """Buckets of words and of their beginnings, a row each."""
+        return _bucket(np.vstack([self.lower[None], self.heads]) * _A)
 
     def shapes(self) -> np.ndarray:
         """Buckets of shapes and of pairs, two rows."""
@@ -117,7 +123,7 @@ class Grams(NamedTuple):
         if m.shapes is not None:
             each += m.shapes[self.shapes()].sum(0)
         if m.words is not None:
-            each += m.words[self.words()]
+            each += m.words[self.words()].min(0)  # a word and its beginnings count once
         return np.bincount(self.of, each, len(self.size))
 
 
@@ -134,7 +140,8 @@ def grams(texts: list[str | None], known: Vocabulary) -> Iterator[Grams]:
         if held > _BYTES or i + 1 == len(texts):
             n, s = np.array(numbers, np.int64), np.array(size, np.int64)
             lower, shape = (np.array(a, np.uint64)[n] for a in (known.lower, known.shape))
-            yield Grams(s, np.repeat(np.arange(len(s)), s), lower, shape)
+            heads = np.array(known.heads, np.uint64).reshape(-1, len(HEADS))[n].T
+            yield Grams(s, np.repeat(np.arange(len(s)), s), lower, shape, heads)
             numbers, size, held = [], [], 0
             known.start()
 
@@ -150,7 +157,7 @@ def _counts(docs: DataFrame, votes: DataFrame, first: np.ndarray | None, limit:
             for g in grams(b["text"].tolist(), known):
                 here = slice(at, at + len(g.size))
                 at += len(g.size)
-                found = g.shapes() if first is None else g.words()[None]
+                found = g.shapes() if first is None else g.words()
                 of = np.broadcast_to(g.of, found.shape)
                 if first is not None:
                     left = g.scores(Model(first, None)) > limit
@@ -220,7 +227,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, limit: flo
     raw = max(1, texts.count())
     docs_ = (total[0] or 0.0, total[1] or 0.0, (total[2] or 0) / raw)
     shapes = _ratios(_counts(texts, votes, None, limit), docs_, surprise=10, support=0.001, most=-0.7)
-    words = _ratios(_counts(texts, votes, shapes, limit), docs_, surprise=8, support=0.004, most=-1.5)
+    words = _ratios(_counts(texts, votes, shapes, limit), docs_, surprise=12, support=0.004, most=-2.0)
     return Model(shapes, words)
 
 
@@ -271,7 +278,7 @@ def _threshold(scored: DataFrame, limit: float) -> float:
     return kth_largest(scored.select("key"), k) if k else float("inf")
 
 
-def resample(docs: DataFrame, labels: DataFrame, limit: float = -2.5, temperature: float = 0.25, seed: int = 1) -> DataFrame:
+def resample(docs: DataFrame, labels: DataFrame, limit: float = -5.0, temperature: float = 0.25, seed: int = 1) -> DataFrame:
     """doc_id, weight, key, kept of ``docs`` (doc_id, text).
 
     k is the number of documents with a weight over ``limit``, so with little noise the
@@ -286,7 +293,7 @@ def resample(docs: DataFrame, labels: DataFrame, limit: float = -2.5, temperatur
     return d.select("doc_id", F.col("w").alias("weight"), "key", (F.col("key") >= F.lit(last)).alias("kept"))
 
 
-def kept_rows(docs: DataFrame, labels: DataFrame, limit: float = -2.5, temperature: float = 0.25, seed: int = 1) -> DataFrame:
+def kept_rows(docs: DataFrame, labels: DataFrame, limit: float = -5.0, temperature: float = 0.25, seed: int = 1) -> DataFrame:
     """The rows of ``docs`` that ``resample`` keeps, with all their columns; texts are not shuffled."""
     model = fit(docs, labels)
     key = gumbel_key(weight(F.col("text"), model), F.col("doc_id"), temperature, seed)
