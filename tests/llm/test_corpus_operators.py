@@ -103,6 +103,20 @@ def test_groups_of_edited_copies(spark, monkeypatch, unit):
     assert found(near_dedup.link(table(spark, texts), 5)) == brute(list(enumerate(texts)), 5)
 
 
+def test_copies_among_texts_on_one_boilerplate(spark, monkeypatch):
+    """All texts are candidates of each other just under the threshold (J 0.78); only the planted pairs (J 0.84) link."""
+    monkeypatch.setattr(near_dedup, "UNIT", 20)
+    page, texts = [f"page{i}" for i in range(100)], []
+    for i in range(300):
+        own = [f"own{i}x{k}" for k in range(14)]
+        texts.append(" ".join(page + own))
+        if i % 3 == 0:
+            texts.append(" ".join(page + own[:4] + [f"edit{i}x{k}" for k in range(10)]))
+    want = brute(list(enumerate(texts)), 1)
+    assert sum(not kept for _, _, kept in want.values()) == 100
+    assert found(near_dedup.link(table(spark, texts), 1)) == want
+
+
 def test_near_dedup_of_odd_tables(spark, odd, none):
     d = near_dedup.link(odd, 4)
     assert d.count() == odd.count() and near_dedup.link(none, 4).count() == 0
