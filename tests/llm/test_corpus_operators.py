@@ -117,6 +117,13 @@ def test_copies_among_texts_on_one_boilerplate(spark, monkeypatch):
     assert found(near_dedup.link(table(spark, texts), 1)) == want
 
 
+def test_copies_of_very_short_texts(spark):
+    """Texts of 7 words and the same with one more: 4 of 5 shingles are shared."""
+    texts = [t for i in range(2000) for t in (" ".join(f"w{i}x{k}" for k in range(7)), " ".join(f"w{i}x{k}" for k in range(8)))]
+    got = found(near_dedup.link(table(spark, texts), 4))
+    assert [i for i in range(2000) if got[2 * i + 1][1:] != (2 * i, False)] == []
+
+
 def test_near_dedup_of_odd_tables(spark, odd, none):
     d = near_dedup.link(odd, 4)
     assert d.count() == odd.count() and near_dedup.link(none, 4).count() == 0
