@@ -1,4 +1,4 @@
-"""HTML extraction by nearest-URL page differencing.
+"""HTML extraction by markup, and by nearest-URL page differencing for pages without an article element.
 
 A page is cut into text lines (blocks); its markup says of each line whether it stands in
 an article, and lines in menus, headers, footers, sidebars, forms, adverts, notices and
