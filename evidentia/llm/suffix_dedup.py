@@ -1,7 +1,7 @@
 """Suffix-array dedup: bytes covered by a string of ``LENGTH`` bytes that starts twice or more.
 
 1. Candidates.  Every start of a ``LENGTH``-byte string is labelled with the least hash of
-   the ``KMER``-byte strings inside it.  Equal strings have equal labels, and neighbouring
+   the 32-byte strings inside it.  Equal strings have equal labels, and neighbouring
    starts mostly share one: a run of starts with one label is a segment, about one for
    each 85 bytes.  A start can repeat only if its label occurs in two segments, or twice in
    its own (periodic text).
@@ -11,10 +11,15 @@
    a shard, the suffix array of the segments is built by Larsson-Sadakane refinement,
    common prefixes follow by Kasai's rule, and a start whose prefix shared with a
    neighbour has ``LENGTH`` bytes is repeated.
-4. Merging.  A label with more than ``SPLIT`` contents is split over shards.  Each of these
-   hands on a sorted run of its distinct strings' 128-bit hashes, cut by ranges; the runs
-   of a range are merged by binary search of each in all.
-5. Spans.  Repeated starts meet their texts, which cross the network once.
+4. Narrowing.  A label with more than ``SPLIT`` contents is cut finer: its segments are labelled
+   anew by longer inner strings (the next of ``KMERS``), within the old label.  Equal
+   strings stay together, others part, and copies that an edit kept apart meet.  What is
+   handed on stays a segment, not a start.
+5. Merging.  A label that has more than ``SPLIT`` contents even at the last of ``KMERS`` (strings
+   that differ in a few bytes of 200) is split over shards.  Each of these hands on a
+   sorted run of its distinct strings' 128-bit hashes, cut by ranges; the runs of a range
+   are merged by binary search of each in all.
+6. Spans.  Repeated starts meet their texts, which cross the network once.
 
 Aggregations combine on the map side and joins are on unique keys, so a segment that a
 third of all documents share is no burden.  Nothing is sampled or capped.
@@ -28,13 +33,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evidentia.llm.common import read, stored
 
 LENGTH = 200
-KMER = 32
+#: Lengths of the inner strings that labels are made of, by level.
+KMERS = (32, 104, 168)
 SHARD = 1_500_000
 SPLIT = 1500
 #: A run of starts is cut after so many.
@@ -66,8 +72,8 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 class Segments:
     """Segments of texts: their labels, content hashes and first and last starts."""
 
-    def __init__(self, length: int = LENGTH) -> None:
-        self.length, self.power, self.inverse = length, _powers(_B, 1), _powers(_INVERSE, 1)
+    def __init__(self, length: int = LENGTH, kmer: int = KMERS[0]) -> None:
+        self.length, self.kmer, self.power, self.inverse = length, kmer, _powers(_B, 1), _powers(_INVERSE, 1)
 
     def of(self, texts: list[bytes]) -> tuple[np.ndarray, ...]:
         """(text, lo, hi, label, content, whether the label occurs twice within) of all segments."""
@@ -81,10 +87,11 @@ class Segments:
         w = _words(data)
         h, width = _mixed(w * _A), 8
         content = h
-        while width < KMER:
-            h = _mixed(h[:-width] * _B + h[width:])
-            width *= 2
-        kmers, window = h, self.length - KMER + 1
+        while width < self.kmer:
+            step = min(width, self.kmer - width)
+            h = _mixed(h[:-step] * _B + h[step:])
+            width += step
+        kmers, window = h, self.length - self.kmer + 1
         h = _sliding(h, window, np.minimum)
         begin = np.repeat(np.cumsum(size) - size, size)[: len(h)]
         of = np.repeat(np.arange(len(texts)), size)[: len(h)]
@@ -243,63 +250,120 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         segments = Segments(length)
         for b in batches:
-            keys, part, ids, size = b["__key"].to_numpy(), [], [], 0
-            for i, t in enumerate([*b["text"], None]):
-                if t is not None and len(t := t.encode("utf-8", "surrogatepass")) >= length:
-                    part.append(t)
-                    ids.append(i)
-                    size += len(t)
-                if part and (t is None or size > _CHUNK):
-                    of, lo, hi, label, content, own = segments.of(part)
-                    yield pd.DataFrame({"label": label, "content": content, "key": keys[np.array(ids)[of]], "lo": lo, "hi": hi, "own": own})
-                    part, ids, size = [], [], 0
-
-    occurrences = docs.select("__key", "text").mapInPandas(cut, "label long, content long, key long, lo int, hi int, own boolean")
+            keys = b["key"].to_numpy()
+            for rows, part in _parts((None if t is None else t.encode("utf-8", "surrogatepass") for t in b["text"]), length):
+                of, lo, hi, label, content, own = segments.of(part)
+                yield pd.DataFrame({"label": label, "content": content, "key": keys[rows[of]], "lo": lo, "hi": hi, "own": own})
+
+    occurrences = stored(docs.select(F.col("__key").alias("key"), "text").mapInPandas(cut, "label long, content long, key long, lo int, hi int, own boolean"), "occurrences")
     often = occurrences.groupBy("label").agg(F.count("*").alias("times"), F.max("own").alias("own")).filter("times > 1 or own").select("label")
     found = stored(occurrences.join(often, "label"), "segments")
 
-    distinct = found.groupBy("label", "content").agg(F.count("*").alias("n"), F.first("key").alias("key"), F.first("lo").alias("lo"), F.first("hi").alias("hi"), F.first("own").alias("own"))
-    distinct = stored(distinct, "contents")
-    copied = found.join(distinct.filter("n > 1").select("label", "content"), ["label", "content"]).select("key", "lo", "hi")
-    several = distinct.groupBy("label").agg(F.count("*").alias("contents"), F.sum(F.col("hi") - F.col("lo") + length).alias("bytes"), F.max("own").alias("own")).filter("contents > 1 or own").drop("own")
-    several = stored(several, "labels", compact=True)
-    shards = max(1, (several.agg(F.sum("bytes")).first()[0] or 0) // SHARD)
-    wanted = distinct.join(several, "label").withColumn("split", F.ceil(F.col("contents") / SPLIT).cast("int"))
-    shard = F.when(F.col("split") > 1, F.xxhash64("label", F.pmod(F.col("content"), F.col("split")))).otherwise(F.pmod(F.xxhash64("label"), F.lit(shards)))
-    asked = F.struct("lo", "hi", "label", shard.alias("shard"), (F.col("n") > 1).alias("copied"), (F.col("split") > 1).alias("split"))
-    wanted = wanted.groupBy("key").agg(F.collect_list(asked).alias("w")).select(F.col("key").alias("__of"), *(F.col(f"w.{c}").alias(f"__{c}") for c in ("lo", "hi", "label", "shard", "copied", "split")))
+    distinct = found.groupBy("label", "content").agg(F.count("*").alias("n"), F.first("key").alias("key"), F.first("lo").alias("lo"), F.first("hi").alias("hi"), F.max("own").alias("own"))
+    distinct = stored(distinct.withColumn("copied", F.col("n") > 1), "contents")
+    spans = _copies(found, distinct)
+    several, shards, heavy = _labels(distinct, length)
+    asked = distinct.join(several, "label").withColumn("heavy", F.col("contents") > SPLIT).withColumn("shard", _shard(0, shards))
+    asked = asked.groupBy("key").agg(F.collect_list(F.struct("lo", "hi", "label", "shard", "copied", "heavy")).alias("w"))
+    asked = asked.select(F.col("key").alias("__of"), *(F.col(f"w.{c}").alias(f"__{c}") for c in ("lo", "hi", "label", "shard", "copied", "heavy")))
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for key, text, *asked in b.itertuples(index=False):
                 data = text.encode("utf-8", "surrogatepass")
-                rows += [(key, lo, label, shard, copied, split, data[lo : hi + length]) for lo, hi, label, shard, copied, split in zip(*asked, strict=True)]
-            yield pd.DataFrame(rows, columns=["key", "lo", "label", "shard", "copied", "split", "data"])
+                rows += [(key, lo, label, shard, copied, heavy, data[lo : hi + length]) for lo, hi, label, shard, copied, heavy in zip(*asked, strict=True)]
+            yield pd.DataFrame(rows, columns=["key", "lo", "label", "shard", "copied", "heavy", "data"])
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = (r for b in batches for r in b.itertuples(index=False))
         for _, group in itertools.groupby(rows, key=lambda r: r.shard):
             yield _search(list(group), length)
 
-    # both joins of the texts have the same columns, so that one exchange serves them
-    mine = docs.join(wanted, F.col("__key") == F.col("__of")).drop("__of")
-    asked = mine.select("__key", "text", "__lo", "__hi", "__label", "__shard", "__copied", "__split")
-    pieces = asked.mapInPandas(fetch, "key long, lo int, label long, shard long, copied boolean, split boolean, data binary")
+    mine = docs.join(asked, F.col("__key") == F.col("__of")).select("__key", "text", "__lo", "__hi", "__label", "__shard", "__copied", "__heavy")
+    pieces = mine.mapInPandas(fetch, "key long, lo int, label long, shard long, copied boolean, heavy boolean, data binary")
+    settled = []
+    for level, kmer in enumerate(k for k in KMERS[1:] if k < length):
+        if not heavy:
+            break
+        pieces = stored(pieces, "pieces")
+        settled.append(pieces.filter("not heavy"))
+        found = stored(_narrowed(pieces.filter("heavy"), length, kmer), "narrowed")
+        distinct = found.groupBy("label", "content").agg(F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("key", "lo", "hi", "copied", "data")), F.max("own").alias("own"))
+        distinct = stored(distinct.withColumn("copied", F.col("copied") | (F.col("n") > 1)), "contents")
+        spans = spans.unionByName(_copies(found, distinct))
+        several, shards, heavy = _labels(distinct, length)
+        finer = distinct.join(several, "label").withColumn("heavy", F.col("contents") > SPLIT)
+        if heavy:  # of the last level: by content
+            split = F.xxhash64("label", F.pmod(F.col("content"), F.ceil(F.col("contents") / SPLIT)))
+            finer = finer.withColumn("shard", F.when(F.col("heavy"), split).otherwise(_shard(level + 1, shards)))
+        else:
+            finer = finer.withColumn("shard", _shard(level + 1, shards))
+        pieces = finer.select(*pieces.columns)
+    for more in settled:
+        pieces = pieces.unionByName(more)
     pieces = pieces.repartition("shard").sortWithinPartitions("shard", "label")
     hits = pieces.mapInPandas(search, "key long, lo int, hi int, label long, h1 long, h2 long, single boolean")
-    if several.filter(F.col("contents") > SPLIT).limit(1).count():
+    if heavy:
         hits = stored(hits, "hits", compact=True)
         runs = hits.filter("h1 is not null").withColumn("slice", F.shiftright("h1", 52))
         runs = runs.repartition("label", "slice").sortWithinPartitions("label", "slice")
-        merged = runs.mapInPandas(_merge, "key long, lo int, hi int")
-        spans = copied.unionByName(hits.filter("h1 is null").select("key", "lo", "hi")).unionByName(merged)
+        spans = spans.unionByName(hits.filter("h1 is null").select("key", "lo", "hi")).unionByName(runs.mapInPandas(_merge, "key long, lo int, hi int"))
     else:
-        spans = copied.unionByName(hits.select("key", "lo", "hi"))
+        spans = spans.unionByName(hits.select("key", "lo", "hi"))
     spans = spans.groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("s")).select(F.col("key").alias("__of"), F.col("s.lo").alias("__lo"), F.col("s.hi").alias("__hi"))
     return docs.join(spans, F.col("__key") == F.col("__of"), "left").drop("__of")
 
 
+def _parts(texts: Iterator[bytes | None], length: int) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """(places, texts) of texts of ``length`` bytes at least, some ``_CHUNK`` bytes at a time."""
+    rows, part, size = [], [], 0
+    for i, t in enumerate(texts):
+        if t is not None and len(t) >= length:
+            rows.append(i)
+            part.append(t)
+            size += len(t)
+        if size > _CHUNK:
+            yield np.array(rows), part
+            rows, part, size = [], [], 0
+    if part:
+        yield np.array(rows), part
+
+
+def _copies(found: DataFrame, distinct: DataFrame) -> DataFrame:
+    """(key, lo, hi) of the segments ``found`` whose content occurs several times."""
+    return found.join(distinct.filter("n > 1").select("label", "content"), ["label", "content"]).select("key", "lo", "hi")
+
+
+def _labels(distinct: DataFrame, length: int) -> tuple[DataFrame, int, bool]:
+    """(label, contents) of labels whose strings may repeat in part; shards for those up to ``SPLIT`` contents; whether others exist."""
+    several = distinct.groupBy("label").agg(F.count("*").alias("contents"), F.sum(F.col("hi") - F.col("lo") + length).alias("bytes"), F.max("own").alias("own")).filter("contents > 1 or own").drop("own")
+    several = stored(several, "labels", compact=True)
+    size, heavy = several.agg(F.sum(F.when(F.col("contents") <= SPLIT, F.col("bytes"))), F.count_if(F.col("contents") > SPLIT)).first()
+    return several.drop("bytes"), max(1, (size or 0) // SHARD), heavy > 0
+
+
+def _shard(level: int, shards: int) -> Column:
+    return F.xxhash64(F.lit(level), F.pmod(F.xxhash64("label"), F.lit(shards)))
+
+
+def _narrowed(pieces: DataFrame, length: int, kmer: int) -> DataFrame:
+    """Segments of ``pieces`` by labels of ``kmer`` bytes within theirs; with their bytes, and whether they are copied already."""
+
+    def recut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        segments = Segments(length, kmer)
+        for b in batches:
+            key, lo, label, copied = (b[c].to_numpy() for c in ("key", "lo", "label", "copied"))
+            for rows, part in _parts(b["data"], length):
+                of, a, z, finer, content, own = segments.of(part)
+                row = rows[of]
+                finer = _mixed((finer.view(np.uint64) + _A) * _B + label[row].view(np.uint64)).view(np.int64)
+                data = [part[i][x : y + length] for i, x, y in zip(of, a, z, strict=True)]
+                yield pd.DataFrame({"label": finer, "content": content, "key": key[row], "lo": lo[row] + a, "hi": lo[row] + z, "own": own, "copied": copied[row], "data": data})
+
+    return pieces.mapInPandas(recut, "label long, content long, key long, lo int, hi int, own boolean, copied boolean, data binary")
+
+
 def _search(rows: list, length: int) -> pd.DataFrame:
     """Repeated starts of a shard's segments that aren't copied as a whole; of split labels also its run of strings."""
     parts, out = [r.data for r in rows], []
@@ -309,7 +373,7 @@ def _search(rows: list, length: int) -> pd.DataFrame:
             out += [(r.key, r.lo + lo, r.lo + hi) for lo, hi in zip(*_intervals(twice[a : a + len(r.data)]), strict=True)]
     frame = pd.DataFrame(out, columns=["key", "lo", "hi"]).astype({"key": "int64", "lo": "int32", "hi": "int32"})
     frame = frame.assign(label=None, h1=None, h2=None, single=None).astype(_RUN)
-    if any(r.split for r in rows):
+    if any(r.heavy for r in rows):
         order = sa[full[sa]]
         a, b = _string_hashes(data, order, length)
         new = np.ones(len(order), bool)
