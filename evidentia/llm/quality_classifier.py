@@ -31,13 +31,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidentia.llm.common import read, stored
+from evidentia.llm.common import distinct_sorted, read, stored
 
 BUCKETS = 1 << 17
 LABELLED = 200_000
 #: Lengths in bytes of the beginnings of words that count beside whole words: they catch inflected forms.
 HEADS = (4, 5)
-#: Words a task remembers before it starts over.
+#: Words that a Python worker remembers before it starts over.
 _WORDS = 400_000
 _BYTES = 1_000_000
 
@@ -77,9 +77,19 @@ class Vocabulary(dict):
             self.lower, self.shape, self.heads = array("Q"), array("Q"), array("Q")
 
 
+_known: list[Vocabulary] = []
+
+
+def vocabulary() -> Vocabulary:
+    """The Python worker's table, which its tasks share; what it holds changes no result."""
+    if not _known:
+        _known.append(Vocabulary())
+    return _known[0]
+
+
 def _bucket(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * _B
-    return ((h ^ (h >> np.uint64(29))) % np.uint64(BUCKETS)).astype(np.int64)
+    return ((h ^ (h >> np.uint64(29))) & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
 class Grams(NamedTuple):
@@ -150,7 +160,7 @@ def _counts(docs: DataFrame, votes: DataFrame, first: np.ndarray | None, limit:
     """bucket, raw, target, target_votes, all_votes; of shapes, or with ``first`` of words in documents that it leaves."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, total = Vocabulary(), np.zeros((4, BUCKETS))
+        known, total = vocabulary(), np.zeros((4, BUCKETS))
         for b in batches:
             good, vote = b["good"].to_numpy(bool), b["vote"].to_numpy(float)
             at = 0
@@ -162,7 +172,7 @@ def _counts(docs: DataFrame, votes: DataFrame, first: np.ndarray | None, limit:
                 if first is not None:
                     left = g.scores(Model(first, None)) > limit
                     found, of = found[:, left[g.of]], of[:, left[g.of]]
-                pair = np.unique(of.ravel() * BUCKETS + found.ravel())
+                pair = distinct_sorted((of * BUCKETS + found).ravel())
                 of, bucket = pair // BUCKETS, pair % BUCKETS
                 v, t = vote[here][of], good[here][of]
                 for i, w in enumerate((None, t, v * t, v)):
@@ -209,7 +219,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, limit: flo
         known = known.filter(F.xxhash64("labelled_id") < F.lit(int(-(2**63) + share * 2**64)))
 
     def group(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = Vocabulary()
+        seen = vocabulary()
         for b in batches:
             keys = [g.groups() for g in grams(b["text"].tolist(), seen)]
             yield pd.DataFrame({"labelled_id": b["labelled_id"], "good": b["good"], "group": np.concatenate(keys) if keys else []})
@@ -236,7 +246,7 @@ def weight(text: Column, model: Model) -> Column:
 
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = Vocabulary()
+        known = vocabulary()
         for b in batches:
             parts = [g.scores(model) for g in grams(b.tolist(), known)]
             yield pd.Series(np.concatenate(parts) if parts else np.empty(0))
@@ -294,12 +304,15 @@ def resample(docs: DataFrame, labels: DataFrame, limit: float = -5.0, temperatur
 
 
 def kept_rows(docs: DataFrame, labels: DataFrame, limit: float = -5.0, temperature: float = 0.25, seed: int = 1) -> DataFrame:
-    """The rows of ``docs`` that ``resample`` keeps, with all their columns; texts are not shuffled."""
+    """The rows of ``docs`` that ``resample`` keeps, with all their columns.
+
+    Rows are stored with their weights, so each text is weighed once and none is shuffled.
+    """
     model = fit(docs, labels)
-    key = gumbel_key(weight(F.col("text"), model), F.col("doc_id"), temperature, seed)
-    w = stored(docs.select("doc_id", weight(F.col("text"), model).alias("w")), "weights")
-    last = _threshold(w.select("w", gumbel_key(F.col("w"), F.col("doc_id"), temperature, seed).alias("key")), limit)
-    return docs.filter(key >= F.lit(last))
+    d = stored(docs.withColumn("__w", weight(F.col("text"), model)), "weights")
+    d = d.withColumn("__key", gumbel_key(F.col("__w"), F.col("doc_id"), temperature, seed))
+    last = _threshold(d.select(F.col("__w").alias("w"), F.col("__key").alias("key")), limit)
+    return d.filter(F.col("__key") >= F.lit(last)).select(*docs.columns)
 
 
 def op8_quality_classifier(spark, sf_dir: str) -> DataFrame:
