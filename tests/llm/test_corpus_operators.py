@@ -117,6 +117,35 @@ def test_copies_among_texts_on_one_boilerplate(spark, monkeypatch):
     assert found(near_dedup.link(table(spark, texts), 1)) == want
 
 
+@pytest.mark.parametrize("pairs", [350, 800, 2500])
+def test_copies_in_components_of_any_size(spark, pairs):
+    """Texts of 1,139 words: pairs at J 0.8046, all others at 0.786; linked at default settings."""
+    page, texts = [f"p{i}" for i in range(1003)], []
+    for i in range(pairs):
+        own = [f"o{i}x{k}" for k in range(136)]
+        texts.append(" ".join(page + own))
+        texts.append(" ".join(page + own[:13] + [f"e{i}x{k}" for k in range(123)]))
+    sets = [shingle_set(t, 4) for t in (texts[0], texts[1], texts[2])]
+    index = lambda a, b: len(a & b) / len(a | b)
+    assert index(sets[0], sets[1]) > 0.8 > index(sets[0], sets[2]) > 0.78
+    got = found(near_dedup.link(table(spark, texts).repartition(4), 4))
+    assert [i for i in range(pairs) if got[2 * i][1:] != (2 * i, True) or got[2 * i + 1][1:] != (2 * i, False)] == []
+
+
+def test_rows_that_share_an_id_link(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
+    d = spark.createDataFrame([(1, a), (1, b), (2, a), (3, a + " x"), (4, b), (None, a)], "doc_id long, text string")
+    got = sorted(((r.doc_id or 0, r.component_id or 0, r.kept) for r in near_dedup.link(d, 4).collect()))
+    assert got == [(0, 0, True), (1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 1, False)]
+
+
+def test_overlaps_are_exact():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 9000, rng.integers(1, 4000)).astype(np.uint64)) for _ in range(30)]
+    got = near_dedup.overlaps(sets)
+    assert all(got[i, j] == len(np.intersect1d(a, b)) for i, a in enumerate(sets) for j, b in enumerate(sets) if i != j)
+
+
 def test_copies_of_very_short_texts(spark):
     """Texts of 7 words and the same with one more: 4 of 5 shingles are shared."""
     texts = [t for i in range(2000) for t in (" ".join(f"w{i}x{k}" for k in range(7)), " ".join(f"w{i}x{k}" for k in range(8)))]
