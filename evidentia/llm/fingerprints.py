@@ -1,6 +1,7 @@
 """Document fingerprints from closed syncmers.
 
-A text is a sequence of words (a run of over ``PIECE`` characters counts as several).  Of
+A text is a sequence of words; of a run of over ``PIECE`` characters, as in writing without
+spaces, every character counts as a word, so nothing hangs on where the run begins.  Of
 its ``k``-word windows those are chosen whose least hashed ``s``-word part is the first or
 the last of the window.  The choice depends on the window alone, not on its neighbours, so
 an unchanged passage keeps its anchors wherever it moves.  The fingerprint is the anchors'
@@ -21,7 +22,7 @@ from evidentia.llm.common import let, read, stored
 
 K, S = 10, 2
 PIECE = 32
-_WORDS = r"[^\x20\x09-\x0D]{1,%d}" % PIECE
+_WORDS = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]{1,%d}(?![^\x20\x09-\x0D])|[^\x20\x09-\x0D]" % PIECE
 _LOW = 0xFFFFFFFF
 _BASE = 2**31
 
@@ -86,9 +87,11 @@ def next_ids(docs: DataFrame) -> DataFrame:
 def fingerprint(docs: DataFrame, k: int = K, s: int = S) -> DataFrame:
     """Fingerprints of ``docs`` (doc_id, text), of their edited texts, and likenesses.
 
-    Null texts count as empty.  A null id is the lowest.  Rows that share an id each get
-    a row; their next document is that of the id, and as a next document such an id
-    stands for its row with the least text.
+    Null texts count as empty, and an empty text has no anchors.  A null id is the lowest.
+    Rows that share an id each get a row; their next document is that of the id, and as a
+    next document such an id stands for its row with the least text.  Texts of any length
+    are read whole.  Ties of hashes in a window choose it.  An empty table gives an empty
+    one; other columns are ignored, whatever their names.
     """
     text = F.coalesce("text", F.lit(""))
     a = docs.select("doc_id", text.alias("text"), anchors(text, k, s).alias("fp"))
