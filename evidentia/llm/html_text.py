@@ -7,17 +7,20 @@ the neighbour of its host whose path shares the longer beginning, the lines of t
 aligned by longest common subsequence, and shared lines are deleted as template text.
 
 Differencing alone can't give right results: an advert that only one page shows isn't
-shared, and two copies of an article share all of it.  So shared lines inside an article
-element stay, and a pair that shares over half of the text of either page is taken for
-copies and loses nothing.
+shared, two copies of an article share all of it, and pages of a host quote each other.
+So shared lines inside an article element stay, and a pair that shares over half of the
+text of either page is taken for copies and loses nothing.
 
 Pages are dealt by ranges of (host, path, page): a host of any size spreads over tasks.
+The ranges come from urls and ids alone, and a page at the edge of a range also goes to
+the next range as a neighbour, so results don't hang on where ranges end.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -29,18 +32,24 @@ from evidentia.llm.url_filter import host_and_path
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
 _ATTR = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
-_SPACE = re.compile(r"[\x20\x09-\x0D]+")
+_SPACE = re.compile(r"\s+")
 
 #: Elements whose content is not text of the page.
 RAW = {"script", "style", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "title", "textarea", "xmp"}
 #: Elements that are never part of the main text.
 OUTSIDE = {"nav", "header", "footer", "aside", "form", "select", "button", "menu", "dialog", "head", "fieldset", "label", "datalist"}
-#: Words of class, id or role that say the same.
+#: Names of class, id or role that say the same, by themselves or as the last word of a compound (site-header).
 OUTSIDE_NAMES = {
     "ad", "ads", "advert", "adverts", "advertisement", "adsense", "sponsor", "sponsored", "promo", "promotion", "banner", "nav", "navbar", "navigation", "menu", "breadcrumb",
     "breadcrumbs", "header", "masthead", "footer", "contentinfo", "sidebar", "complementary", "aside", "related", "widget", "share", "sharing", "social", "notice", "notices",
     "cookie", "cookies", "consent", "newsletter", "subscribe", "popup", "modal", "alert", "comment", "comments", "replies", "disqus", "search", "form", "toolbar", "pagination",
 }
+#: Compounds of these two are outside as well (ad-slot, comment-list).
+OUTSIDE_FIRST = {"ad", "ads", "advert", "nav", "menu", "sidebar", "footer", "cookie", "related", "share", "social", "comment", "comments", "newsletter", "breadcrumb", "promo", "sponsored"}
+HOLDERS = {"container", "wrapper", "wrap", "area", "list", "box", "block", "bar", "section", "item", "items", "links", "buttons", "posts", "signup", "left", "right", "top", "bottom", "slot", "unit", "inner"}
+#: Compounds that begin so are headers and the like of the article itself, and stay (entry-header).
+OWN_FIRST = {"article", "post", "entry", "content", "story"}
+OWN_LAST = {"header", "banner", "footer", "notice", "alert"}
 BLOCK = {
     "address", "article", "blockquote", "body", "br", "caption", "center", "dd", "details", "div", "dl", "dt", "figcaption", "figure", "h1", "h2", "h3", "h4", "h5", "h6", "hr",
     "html", "legend", "li", "main", "ol", "option", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
@@ -48,12 +57,23 @@ BLOCK = {
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
-def _is_outside(name: str, attrs: str) -> bool:
-    if name in OUTSIDE:
+def _named_outside(name: str) -> bool:
+    """Whether a single class, id or role says that an element is no main text."""
+    if name in OUTSIDE_NAMES:
         return True
+    words = re.split(r"[-_]+", name)
+    first, last = words[0], words[-1]
+    if len(words) > 1 and last in OUTSIDE_NAMES:
+        return not (first in OWN_FIRST and last in OWN_LAST)
+    return len(words) == 2 and first in OUTSIDE_FIRST and last in HOLDERS
+
+
+def _is_outside(name: str, attrs: str, in_article: bool) -> bool:
+    if name in OUTSIDE:
+        return not (name == "header" and in_article)  # an article's header holds its title
     if name in ("html", "body", "article", "main") or not attrs:
         return False
-    return any(w in OUTSIDE_NAMES for _, v in _ATTR.findall(attrs) for w in re.split(r"[^a-z]+", v.lower()))
+    return any(_named_outside(w) for _, v in _ATTR.findall(attrs) for w in v.strip("\"'").lower().split())
 
 
 def lines(page: str) -> list[tuple[str, int]]:
@@ -102,7 +122,7 @@ def lines(page: str) -> list[tuple[str, int]]:
         if closing:
             article -= name == "article" and article > 0
             main -= name == "main" and main > 0
-        elif name not in VOID and not m[3].endswith("/") and _is_outside(name, m[3]):
+        elif name not in VOID and not m[3].endswith("/") and _is_outside(name, m[3], article > 0):
             flush()
             skip, depth = name, 1
         else:
@@ -193,45 +213,73 @@ def _alike(a: str, b: str) -> int:
     return n
 
 
-def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars of ``pages`` (page_id, url, html).
+def _key(host: str, path: str, page_id) -> tuple:
+    return host, path, page_id is not None, 0 if page_id is None else page_id
+
+
+def _ranges(keys: DataFrame, n: int) -> tuple[list[tuple], list[tuple]]:
+    """First and last keys of at most ``n`` ranges of about as many pages; ``n`` rows reach the driver."""
+    d = keys.repartitionByRange(n, "host", "path", "page_id").withColumn("part", F.spark_partition_id())
+    key = F.struct("host", "path", "page_id")
+    found = d.groupBy("part").agg(F.min(key).alias("first"), F.max(key).alias("last")).collect()
+    return tuple(sorted(_key(*r[c]) for r in found) for c in ("first", "last"))
+
+
+def extract(pages: DataFrame, ranges: int | None = None) -> DataFrame:
+    """page_id, url, text, n_chars of ``pages`` (page_id, url, html, ...).
 
-    Null and empty html give empty text.  A page without host, or alone on its host within
-    its range, is not differenced.  Repeated rows each stay.  Tags, attributes and
-    references that are broken are read as browsers do, or left as text.
+    Null and empty html give empty text.  A page without host, or alone on its host, is
+    not differenced.  White space of any kind, no-break spaces included, becomes one space
+    inside a block.  Tags, attributes and references that are broken are read as browsers
+    do, or left as text.  Of neighbours whose paths are alike equally far, the one before
+    counts.  Repeated rows each stay; with equal urls and ids they are neighbours, and
+    copies.  Pages of any length are read whole.  An empty table gives an empty one; other
+    columns are ignored, whatever their names.  ``ranges``, by default the session's shuffle
+    partitions, spreads the work and changes no result.
     """
+    spark = pages.sparkSession
     id_type = pages.schema["page_id"].dataType.simpleString()
     host, path = host_and_path(F.col("url"))
     d = pages.select("page_id", "url", host.alias("host"), path.alias("path"), F.coalesce("html", F.lit("")).alias("html"))
+    firsts, lasts = _ranges(d.select("host", "path", "page_id"), ranges or int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found = [lines(x) for x in b.pop("html")]
-            b["lines"] = [[x for x, _ in f] for f in found]
-            b["protected"] = [bool(f) and f[0][1] == 2 for f in found]
-            yield b
+            rows = []
+            for page_id, url, host, path, page in zip(b["page_id"].astype(object).where(b["page_id"].notna(), None), b["url"], b["host"], b["path"], b["html"], strict=True):
+                found = lines(page)
+                row = (page_id, url, host, path, [x for x, _ in found], bool(found) and found[0][1] == 2)
+                key = _key(host, path, page_id)
+                part = min(bisect_left(lasts, key), len(lasts) - 1)
+                rows.append((*row, part, True))
+                if part + 1 < len(lasts) and key == lasts[part]:
+                    rows.append((*row, part + 1, False))
+                if part and key == firsts[part]:
+                    rows.append((*row, part - 1, False))
+            yield pd.DataFrame(rows, columns=["page_id", "url", "host", "path", "lines", "protected", "part", "own"])
 
     def pair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         before = here = None  # of the page before, and of the page whose turn it is once its next one is known
 
         def done(before, here, after) -> tuple:
-            near = [x for x in (before, after) if x is not None and here.host and x.host == here.host]
+            near = [x for x in (before, after) if x is not None and here.host and x.host == here.host and x.part == here.part]
             other = max(near, key=lambda x: _alike(x.path, here.path), default=None)
             text = " ".join(difference(list(here.lines), list(other.lines) if other else [], here.protected))
             return here.page_id, here.url, text, len(text)
 
         for b in batches:
             out = []
+            b["page_id"] = b["page_id"].astype(object).where(b["page_id"].notna(), None)
             for after in b.itertuples(index=False):
-                if here is not None:
+                if here is not None and here.own:
                     out.append(done(before, here, after))
                 before, here = here, after
             yield pd.DataFrame(out, columns=["page_id", "url", "text", "n_chars"])
-        if here is not None:
+        if here is not None and here.own:
             yield pd.DataFrame([done(before, here, None)], columns=["page_id", "url", "text", "n_chars"])
 
-    d = d.mapInPandas(cut, f"page_id {id_type}, url string, host string, path string, lines array<string>, protected boolean")
-    d = d.repartitionByRange("host", "path", "page_id").sortWithinPartitions("host", "path", "page_id")
+    d = d.mapInPandas(cut, f"page_id {id_type}, url string, host string, path string, lines array<string>, protected boolean, part int, own boolean")
+    d = d.repartitionById(max(1, len(lasts)), F.col("part")).sortWithinPartitions("part", "host", "path", "page_id", "lines")
     return d.mapInPandas(pair, f"page_id {id_type}, url string, text string, n_chars long")
 
 

@@ -7,6 +7,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -145,7 +146,48 @@ def test_fingerprints_of_odd_tables(spark, odd, none):
     by = {r.doc_id: r for r in rows}
     assert by[4].fingerprint == "" and by[1].fingerprint == by[2].fingerprint and by[1].fingerprint != by[3].fingerprint
     alone = fingerprints.fingerprint(spark.createDataFrame([(1, "a b c")], "doc_id long, text string")).first()
-    assert alone.near_next == 1.0 and alone.edited_sha256 == hashlib.sha256(b"a ba ").hexdigest() or alone.n_chars == 5
+    assert (alone.near_next, alone.edited_sha256, alone.n_chars) == (1.0, hashlib.sha256(b"a ba ").hexdigest(), 5)
+
+
+def plain_anchors(text, k=10, s=2):
+    """Closed syncmers in plain Python."""
+    run = r"[^\x20\x09-\x0D]"
+    words = [w for r in re.findall(run + "+", text) for w in ([r] if len(r) <= 32 else r)]
+
+    def fold(values):
+        seed = 42
+        for v in values:
+            seed = xxhash.xxh64_intdigest(v, seed)
+        return seed
+
+    code = lambda h: (h & 0xFFFFFFFF).to_bytes(4, "big").hex()
+    signed = lambda h: h - 2**64 if h >= 2**63 else h
+    h = [fold([w.encode()]).to_bytes(8, "little") for w in words]
+    part = [signed(fold(h[i : i + s])) for i in range(len(h) - s + 1)]
+    w = k - s + 1
+    chosen = [i for i in range(len(h) - k + 1) if min(part[i : i + w]) in (part[i], part[i + w - 1])]
+    return list(dict.fromkeys(code(fold(h[i : i + k])) for i in chosen)) or ([code(fold(h))] if h else [])
+
+
+def test_anchors_against_plain_python(spark, odd):
+    """Every fingerprint of sf0.001 and of the odd table, and every likeness to the next document."""
+    docs = sorted(((r.doc_id, r.text or "") for r in documents(spark).collect()), reverse=True)
+    rows = {r.doc_id: r for r in fingerprints.op3_fingerprints(spark, SF).collect()}
+    of = [plain_anchors(t) for _, t in docs]
+    for i, (k, _) in enumerate(docs):
+        a, b = set(of[i]), set(of[(i + 1) % len(docs)])
+        assert rows[k].fingerprint == "".join(of[i]) and rows[k].near_next == pytest.approx(len(a & b) / len(a | b) if a | b else 1)
+    got = odd.select("text", fingerprints.as_string(fingerprints.anchors(F.col("text"))).alias("fp")).collect()
+    assert [r.fp for r in got] == ["".join(plain_anchors(r.text or "")) for r in got]
+
+
+def test_anchors_of_text_without_spaces(spark):
+    import random
+
+    random.seed(2)
+    text = "".join(chr(0x4E00 + random.randrange(3000)) for _ in range(3000))
+    d = spark.createDataFrame([(text, "長" + text)], "a string, b string").select(fingerprints.likeness(*(fingerprints.anchors(F.col(c)) for c in "ab")).alias("near"))
+    assert d.first().near > 0.9
 
 
 # --- token counts
@@ -300,6 +342,52 @@ def test_shared_lines_go_but_copies_stay(spark):
     assert html_text.difference(["s", own[0], "e"], ["s", own[1], "e"], False) == [own[0]] and html_text.difference(["s"], ["s"], True) == ["s"]
 
 
+def brute_pages(rows):
+    """Texts by the nearest page of the host in order of (host, path, id), all on the driver."""
+    def place(r):
+        rest = (r[1] or "").partition("://")[2]
+        host = re.match(r"[^/?#]*", rest)[0]
+        return host.lower(), re.match(r"[^?#]*", rest[len(host) :])[0], r[0]
+
+    order, out = sorted((place(r), [x for x, _ in html_text.lines(r[2] or "")]) for r in rows), {}
+    for i, ((host, path, k), own) in enumerate(order):
+        near = [order[j] for j in (i - 1, i + 1) if 0 <= j < len(order) and order[j][0][0] == host and host]
+        alike = lambda a: next((n for n, (x, y) in enumerate(zip(a, path, strict=False)) if x != y), min(len(a), len(path)))  # noqa: B023, E731
+        best = max(near, key=lambda x: alike(x[0][1]), default=None)
+        out[k] = " ".join(html_text.difference(own, best[1] if best else [], False))
+    return out
+
+
+def test_differencing_does_not_hang_on_ranges(spark):
+    """Pages without article elements: template lines go wherever ranges end."""
+    body = lambda i: " ".join(f"w{i * 31 % 97}x{k}" for k in range(12))
+    page = lambda i: f"<div>Site name and slogan</div><p>{body(i)}</p><p>{body(i + 1000)}</p><div>All rights reserved</div>"
+    rows = [(i, f"http://{'h' if i < 60 else f'k{i % 7}'}.com/a/{i:03d}", page(i)) for i in range(100)]
+    d = spark.createDataFrame(rows, "page_id int, url string, html string").repartition(5)
+    want = brute_pages(rows)
+    assert sum("Site name" in t for t in want.values()) == 0
+    for n in (1, 2, 7, 40, 200):
+        assert {r.page_id: r.text for r in html_text.extract(d, n).collect()} == want
+
+
+def test_pages_of_odd_tables(spark):
+    long = "<p>" + "long text " * 100_000
+    rows = [(1, "http://h/a", "<p>x", "k"), (1, "http://h/a", "<p>x", "k"), (None, None, None, None), (None, "http://h/b", "", "k"), (3, "http://h/c", long, "k"), (4, "no scheme", "a&nbsp;&nbsp;b\u2003c", "k")]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string, host string")
+    got = sorted((r.page_id or 0, r.text, r.n_chars) for r in html_text.extract(d).collect())
+    assert got == [(0, "", 0), (0, "", 0), (1, "x", 1), (1, "x", 1), (3, ("long text " * 100_000).strip(), 999_999), (4, "a b c", 5)]
+    assert html_text.extract(d.filter("false")).count() == 0
+
+
+@pytest.mark.parametrize("name, outside", [("post-content", False), ("alert-free", False), ("search-result-article", False), ("form-of-government", False), ("entry-header", False), ("site-header", True), ("comment-list", True), ("ad", True), ("headed", False), ("post-comments", True)])
+def test_names_are_read_whole(name, outside):
+    assert [x for x, _ in html_text.lines(f'<div class="wide {name}">x</div><p>y')] == (["y"] if outside else ["x", "y"])
+
+
+def test_an_articles_header_keeps_its_title():
+    assert [x for x, _ in html_text.lines("<header>site</header><article><header><h1>Title</h1></header>body</article>")] == ["Title", "body"]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from("abcd"), max_size=12), st.lists(st.sampled_from("abcd"), max_size=12))
 def test_common_lines_are_longest(a, b):
