@@ -8,7 +8,7 @@ from collections.abc import Callable
 from decimal import Decimal
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -101,11 +101,37 @@ def nfkc(text: pd.Series) -> pd.Series:
     return text.map(lambda x: unicodedata.normalize("NFKC", x), na_action="ignore")
 
 
+def _composed(x: object, name: str = "") -> object:
+    if isinstance(x, str):
+        return x if name.endswith(("_id", "_ids")) else unicodedata.normalize("NFKC", x)
+    if isinstance(x, dict):
+        return {k: _composed(v, k) for k, v in x.items()}
+    return [_composed(v, name) for v in x] if isinstance(x, list) else x
+
+
+@F.pandas_udf(StringType())
+def _compose_json(text: pd.Series) -> pd.Series:
+    return text.map(lambda x: json.dumps(_composed(json.loads(x)), ensure_ascii=False), na_action="ignore")
+
+
+def composed(d: DataFrame, column: str) -> Column:
+    """A nested column of ``d`` with its texts, but for ids, in compatibility composition; only rows that aren't ASCII go to Python."""
+    text = F.to_json(column)
+    odd = F.when(text.rlike(r"[^\x00-\x7F]"), text)
+    return F.coalesce(F.from_json(_compose_json(odd), d.schema[column].dataType), F.col(column))
+
+
 def json_text(value: object) -> str:
     """Compact JSON with sorted keys: what digests are taken of."""
     return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"), allow_nan=False)
 
 
+@F.pandas_udf(StringType())
+def canonical_json(text: pd.Series) -> pd.Series:
+    """JSON text with sorted keys at every level and no blanks."""
+    return text.map(lambda x: json_text(json.loads(x)), na_action="ignore")
+
+
 def decimal_text(value: str | float) -> str:
     """A number without exponent or trailing zeros."""
     number = Decimal(str(value))
@@ -120,8 +146,18 @@ _PLAIN = "------u"
 def scientific(c: Column, compose: bool = True) -> Column:
     """Scientific text without differences of spelling: composed, folded, one kind of dash, other marks as blanks.
 
-    ``compose`` runs the compatibility composition, in Python, on texts that aren't ASCII.
+    ``compose`` runs the compatibility composition, in Python, on texts that aren't ASCII;
+    leave it out where the text is composed already.
     """
-    composed = F.when(c.rlike(r"[^\x00-\x7F]"), nfkc(c)).otherwise(c) if compose else c
-    plain = F.translate(fold(composed), _VARIANTS, _PLAIN)
+    form = F.coalesce(nfkc(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c) if compose else c
+    plain = F.translate(fold(form), _VARIANTS, _PLAIN)
     return collapse(F.regexp_replace(plain, r"(?U)[^\w.%<>=!+\-/]+", " "))
+
+
+#: What counts as a token of a normalised text (fixed value).
+TOKEN = r"(?:e|p)\d+(?:\.\d+)?|[a-z][a-z0-9]*(?:-[a-z0-9]+)*|\d+(?:\.\d+)?|[%<>]=?|[=!+\-/]"
+
+
+def tokens(normal: Column) -> Column:
+    """Tokens of scientifically normalised text, in order."""
+    return F.regexp_extract_all(normal, F.lit(TOKEN), F.lit(0))

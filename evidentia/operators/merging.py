@@ -12,12 +12,14 @@ from evidentia.schemas import MERGE
 _UNIT = ["paper_id", "question_at", "unit_digest"]
 #: What a causal argument's last rung is called, and what to note where it is missing.
 RESCUE = ("rescue", "reconstitution", "reversal", "epistasis")
-NO_RESCUE = "The selected chunks report no rescue, reconstitution, reversal or epistasis experiment; that step of the causal chain is untested here."
+#: The note is the text that delivered packets are known by (fixed value).
+NO_RESCUE = "The selected source chunks do not report a rescue, reconstitution, reversal, or epistasis experiment; that rung of the causal evidence chain remains untested within this extraction scope."
 
 
 def provenance_union(lists: Column) -> Column:
-    """Distinct provenance of several lists: quoted ones first, then by chunk, pages and excerpt."""
-    keyed = F.transform(F.array_distinct(F.flatten(lists)), lambda p: F.struct(p["paraphrased"].alias("r"), p["chunk_id"].alias("c"), p["page_start"].alias("s"), p["page_end"].alias("e"), p["text_excerpt"].alias("t"), p.alias("p")))
+    """Distinct provenance of several lists: quoted ones first, then by chunk, pages and digest of their JSON, keys sorted."""
+    told = lambda p: F.sha2(F.to_json(F.struct(*(p[c].alias(c) for c in ("chunk_id", "page_end", "page_start", "paraphrased", "text_excerpt")))), 256)
+    keyed = F.transform(F.array_distinct(F.flatten(lists)), lambda p: F.struct(p["paraphrased"].alias("r"), p["chunk_id"].alias("c"), p["page_start"].alias("s"), p["page_end"].alias("e"), told(p).alias("t"), p.alias("p")))
     return F.transform(F.array_sort(keyed), lambda x: x["p"])
 
 
@@ -34,9 +36,9 @@ def _reason(kind: str) -> Column:
 def _merged(rows: DataFrame, name: str, kind: str, order: Column, **more: Column) -> DataFrame:
     """Entities of a unit by canonical id: the first by ``order`` with the id, all provenance, and ``more`` fields; and what was merged."""
     prov = F.concat(F.array("e.provenance"), F.coalesce("e.additional_provenance", F.array()))
-    rows = rows.withColumns({"prov": prov, "source": F.struct(F.col(f"e.{name}").alias("id"), F.to_json(prov).alias("provenance"))})
+    rows = rows.withColumns({"prov": prov, "source": F.struct(F.col(f"e.{name}").alias("id"), F.to_json(prov).alias("provenance")), "standing": order})
     g = rows.groupBy(*_UNIT, "canonical_id").agg(
-        F.min_by("e", order).alias("e"), provenance_union(F.collect_list("prov")).alias("p"), F.count("*").alias("n"), F.array_sort(F.collect_set(f"e.{name}")).alias("ids"), _reason(kind).alias("reason"),
+        F.min_by("e", "standing").alias("e"), provenance_union(F.collect_list("prov")).alias("p"), F.count("*").alias("n"), F.array_sort(F.collect_set(f"e.{name}")).alias("ids"), _reason(kind).alias("reason"),
         *(c.alias(n) for n, c in more.items()),
     )
     e = F.col("e").withField(name, F.col("canonical_id")).withField("provenance", F.get("p", F.lit(0))).withField("additional_provenance", F.slice("p", 2, F.greatest(F.size("p"), F.lit(1))))
@@ -66,13 +68,13 @@ def canonicalize(packets: DataFrame) -> DataFrame:
     claims = _merged(c, "claim_id", "claim", K.claim_standing(), inference_basis_ids=F.array_sort(F.array_distinct(F.flatten(F.collect_list("basis")))))
     by_id = lambda d, out: d.groupBy(*_UNIT).agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col("canonical_id").alias("i"), F.col("e").alias("e")))), lambda x: x["e"]).alias(out))
     lists = ("experiments_or_tasks", "datasets", "methods", "results", "claims", "evidence_spans")
-    e = u.withColumnsRenamed({"unit": "e", "digest": "unit_digest"})
-    e = e.withColumns({"digest": F.col("unit_digest"), "source": F.struct(F.col("e.unit_id").alias("id"), F.lit(None).cast("string").alias("provenance"))})
+    e = u.withColumnsRenamed({"unit": "e", "norm": "n", "digest": "unit_digest"})
     filled = sum((F.size(F.coalesce(f"e.{x}", F.array())) for x in lists), F.lit(0))
+    e = e.withColumns({"digest": F.col("unit_digest"), "standing": K.standing(filled, F.col("n.name"), "unit_id", provenance=False), "source": F.struct(F.col("e.unit_id").alias("id"), F.lit(None).cast("string").alias("provenance"))})
     gathered = lambda f: F.collect_list(F.coalesce(f"e.{f}", F.array()))
     tasks = F.transform(F.array_sort(F.transform(F.array_distinct(F.flatten(gathered("experiments_or_tasks"))), lambda t: F.struct(scientific(t, False).alias("n"), t.alias("t")))), lambda x: x["t"])
     units = e.groupBy(*_UNIT, "canonical_id").agg(
-        F.min_by("e", K.standing(filled, F.col("e.name"), provenance=False)).alias("e"), F.min("unit_at").alias("first"), tasks.alias("tasks"), _union(gathered("datasets")).alias("datasets"), _union(gathered("methods")).alias("methods"),
+        F.min_by("e", "standing").alias("e"), F.min("unit_at").alias("first"), tasks.alias("tasks"), _union(gathered("datasets")).alias("datasets"), _union(gathered("methods")).alias("methods"),
         _union(gathered("evidence_spans")).alias("spans"), F.count("*").alias("n"), F.array_sort(F.collect_set("e.unit_id")).alias("ids"), _reason("study_unit").alias("reason"),
     )
     full = units.join(by_id(results, "rs"), _UNIT, "left").join(by_id(claims, "cs"), _UNIT, "left")

@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 import numpy as np
@@ -258,6 +259,29 @@ def test_attempts(spark):
     assert sorted((r.c, r.t, r.attempt, r.is_last) for r in d.collect()) == [(1, 2, 1, False), (1, 5, 2, True), (2, 1, 1, True)]
 
 
+def test_keys_compose_their_texts(spark):
+    """The micro sign, full-width letters and ligatures split no identity, and doses are found in them."""
+    def ids(value, name, statement):
+        p = packet()
+        u = p["research_questions"][0]["study_units"][0]
+        u["results"][0]["value_raw_text"], u["name"], u["claims"][0]["statement"] = value, name, statement
+        k = canonical.unit_keys(table(spark, p))
+        r = canonical.result_keys(k)
+        return [d.first().canonical_id for d in (k, r, canonical.claim_keys(k, r))]
+
+    assert ids("5 µg daily", "ﬁrst trial", "ＡＢＣ") == ids("5 μg daily", "first trial", "abc") == ids("5 ug daily", "First Trial", "abc")
+
+
+def test_signatures_and_pointers(spark):
+    d = spark.createDataFrame([("At E14.5, not >= 5 µg of p53-ko",)], "t string")
+    s = d.select(canonical.signature(F.col("t")).alias("s")).first().s
+    assert s.normalized_text == "at e14.5 not >= 5 ug of p53-ko" and s.tokens == ["at", "e14.5", "not", ">=", "5", "ug", "of", "p53", "-", "ko"]
+    assert s.protected_conditions == ["development_stage:e14.5", "development_stage:p53", "dose:5 ug", "negation:not", "perturbation:p53-ko"]
+    q = spark.createDataFrame([(prov() | {"text_excerpt": "One, two"},)], "p struct<chunk_id:string,page_start:int,page_end:int,text_excerpt:string,paraphrased:boolean>")
+    r = q.select(canonical.pointer(F.col("p")).alias("p")).first().p
+    assert r.excerpt_sha256 == hashlib.sha256(b"one two").hexdigest() and r.chunk_id == prov()["chunk_id"]
+
+
 def test_merging_keeps_everything_and_settles(spark):
     p = packet()
     u = p["research_questions"][0]["study_units"][0]

@@ -100,3 +100,8 @@ def test_ratio_is_the_best_window(excerpt, source):
         assert got == SequenceMatcher(None, e, s, autojunk=False).ratio()
     else:
         assert got == max(SequenceMatcher(None, e, s[i : i + len(e)], autojunk=False).ratio() for i in range(len(s) - len(e) + 1))
+
+
+@pytest.mark.parametrize("text, want", [("abc-kox", []), ("p53 knockouts", ["development_stage:p53"]), ("p53 knockout", ["development_stage:p53", "perturbation:knockout", "perturbation:p53 knockout"]), ("abc-ko mice", ["perturbation:abc-ko"]), ("5 µg daily", ["dose:5 ug"]), ("５ μｇ daily", ["dose:5 ug"])])
+def test_genotypes_and_micro_signs(spark, text, want):
+    assert one(spark, text, lambda c: conditions(T.scientific(c))) == want
