@@ -6,6 +6,7 @@ import argparse
 import importlib
 import sys
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -58,10 +59,12 @@ def _provider(name: str) -> Callable:
 
 
 def extract(spark: SparkSession, a: argparse.Namespace) -> int:
-    from evidentia.operators import planning, reporting
+    from evidentia.operators import chunks, planning, reporting
+    from evidentia.operators.validation import repeated, require_empty
     from evidentia.plans import extraction
-    from evidentia.sources import inputs, sinks
+    from evidentia.sources import inputs, shared, sinks
 
+    began = datetime.now(UTC)
     prices = reporting.pricing(a.input_usd_per_million_tokens, a.output_usd_per_million_tokens, a.pricing_as_of)
     out = a.output_folder or f"{a.paper_folder.rstrip('/')}/{inputs.STATE_FOLDER}/paper-study-2.2"
     report = a.report_folder or f"{out.rstrip('/')}-report"
@@ -75,16 +78,25 @@ def extract(spark: SparkSession, a: argparse.Namespace) -> int:
         papers = inputs.pdf_papers(spark, a.paper_folder)
     make = _provider(a.provider)
     o = extraction.Options(a.validation_retries, a.max_tokens, a.minimum_quality_score)
-    records = extraction.run(planning.plan(papers, max_chunks=a.max_chunks), make, o=o).cache()  # paid calls are made once
-    cost = reporting.estimated_cost(F.col("prompt_tokens"), F.col("completion_tokens"), *prices)
-    r = records.drop("packet").withColumns({
-        "quality_score": F.col("f1"), "total_prompt_tokens": F.col("prompt_tokens"), "total_completion_tokens": F.col("completion_tokens"), "total_tokens": F.col("prompt_tokens") + F.col("completion_tokens"),
-        "estimated_cost_usd": cost, "total_latency_seconds": F.col("latency_seconds"),
-    })
-    done = records.filter(F.col("status") == "succeeded")
-    sinks.publish(spark, out, lambda folder: done.select("paper_id", F.col("packet").alias("value")).write.partitionBy("paper_id").text(folder))
-    sinks.write_report(r, reporting.run_summary(r), report)
-    return int(records.filter(F.col("status") == "failed").limit(1).count() > 0)
+    require_empty(repeated(papers, ["paper_id"]), "paper ids repeat")
+    require_empty(chunks.violations(papers).select("rule", "paper_id"), "chunks break rules")
+    planned = planning.plan(papers, max_chunks=a.max_chunks)
+    try:
+        records = extraction.run(planned, make, o=o)
+        about = planned.select(
+            F.col("paper_id").cast("string").alias("paper_id"), "source_sha256", F.array_max(F.transform("chunks", lambda c: c["page_end"])).alias("pages"), F.size("chunks").alias("source_chunks"),
+            F.size("selected").alias("selected_chunks"),
+        )
+        r = reporting.totals(records, *prices).join(about, "paper_id", "left")
+        r = r.withColumn("output_file", F.when(F.col("status") == "succeeded", F.concat(F.lit(f"{out.rstrip('/')}/paper_id="), "paper_id")))
+        sinks.publish(spark, out, lambda folder: sinks.write_packets(sinks.packets(records.filter("status = 'succeeded'")), folder))
+        summary = reporting.run_summary(r).withColumns({
+            "started_at": F.lit(began.isoformat()), "completed_at": F.lit(datetime.now(UTC).isoformat()), "input_folder": F.lit(a.paper_folder), "output_folder": F.lit(out), "report_folder": F.lit(report),
+        })
+        sinks.write_report(r, summary, report, planned)
+        return int(r.filter(F.col("status") == "failed").limit(1).count() > 0)
+    finally:
+        shared.clear(spark)
 
 
 def export(spark: SparkSession, a: argparse.Namespace) -> int:

@@ -59,6 +59,17 @@ def records(stages: DataFrame, papers: DataFrame) -> DataFrame:
     return papers.join(d, "paper_id", "left").fillna(0, ["total_prompt_tokens", "total_completion_tokens", "total_tokens"]).fillna(0.0, ["total_latency_seconds"]).fillna(True, ["usage_complete"])
 
 
+def totals(records_: DataFrame, input_usd: float | None = None, output_usd: float | None = None) -> DataFrame:
+    """Records of extraction and judging, without packets, with the columns of a report: both stages' usage, latency and cost added up."""
+    both = lambda c: F.coalesce(F.col(c), F.lit(0)) + F.coalesce(F.col(f"judge_{c}"), F.lit(0))
+    cost = lambda stage: estimated_cost(F.col(f"{stage}prompt_tokens"), F.col(f"{stage}completion_tokens"), input_usd, output_usd)
+    return records_.drop("packet").withColumns({
+        "quality_score": F.col("f1"), "total_prompt_tokens": both("prompt_tokens"), "total_completion_tokens": both("completion_tokens"), "total_tokens": both("prompt_tokens") + both("completion_tokens"),
+        "estimated_cost_usd": F.round(cost("") + cost("judge_"), 8), "usage_complete": F.coalesce("usage_complete", F.lit(True)) & F.coalesce("judge_usage_complete", F.lit(True)),
+        "total_latency_seconds": F.round(both("latency_seconds"), 6),
+    })
+
+
 def run_summary(records_: DataFrame) -> DataFrame:
     """One row over all records (status, quality_score, totals)."""
     score = F.col("quality_score")

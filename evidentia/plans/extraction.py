@@ -1,4 +1,9 @@
-"""Extraction by an injected model: prompts, attempts, repair, validation, judging, one row a paper.
+"""Extraction by an injected model: prompts, attempts, repair, validation, canonical identities, judging, one row a paper.
+
+Papers are extracted in one pass and judged in another.  Between them the packets are
+DataFrames: a causal paper's missing rescue is noted, equal entities become one, and rules
+score what came out; the judge sees the canonical packet and the whole paper.  What the
+first pass gave is stored, so that no call is paid for twice.
 
 The model is a provider that the caller makes on the executor; nothing here opens a
 network connection.  A paper that fails becomes a failed row, never a failed job.  Set
@@ -16,8 +21,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evidentia.functions.text import collapse
+from evidentia.operators import merging
+from evidentia.operators import quality as Q
 from evidentia.operators import repair as R
-from evidentia.schemas import POLARITIES
+from evidentia.schemas import PACKET, POLARITIES
+from evidentia.sources.shared import stored
 
 
 class Completion(NamedTuple):
@@ -89,6 +98,7 @@ def problems(payload: dict, chunks: dict[str, tuple[int, int]], flat: bool = Fal
         out += [f"id: {key} {i} repeats" for i in sorted({i for i in ids if isinstance(i, str) and ids.count(i) > 1})]
     ids = [u.get("unit_id") for u in units]
     out += [f"id: unit_id {i} repeats" for i in sorted({i for i in ids if isinstance(i, str) and ids.count(i) > 1})]
+    out += ["study_units: name is missing" for u in units if not isinstance(u.get("name"), str) or not u["name"].strip()]
     for u in units:
         known = {r.get("result_id") for r in _each(u, "results")}
         for c in _each(u, "claims"):
@@ -122,24 +132,11 @@ def extract(provider: Provider, prompt: str, chunks: list[dict], o: Options) ->
     """Packet, repairs, whether it is the flat fallback, and telemetry; raises StageFailed."""
     texts = {c["chunk_id"]: c["text"] for c in chunks}
     pages = {c["chunk_id"]: (c["page_start"], c["page_end"]) for c in chunks}
-    told = {"model": provider.model, "attempts": 0, "usage": {}, "usage_complete": True, "latency_seconds": 0.0, "finish_reason": None}
+    told = _telemetry(provider)
     repairs: list[R.Repair] = []
 
     def call(user: str) -> dict:
-        told["attempts"] += 1
-        began = time.monotonic()
-        try:
-            got = provider.complete_json(SYSTEM, user, o.max_tokens)
-        except ProviderError as e:
-            _add(told["usage"], e.usage)
-            told["usage_complete"] &= bool(e.usage)
-            raise
-        finally:
-            told["latency_seconds"] += time.monotonic() - began
-        _add(told["usage"], got.usage)
-        told["usage_complete"] &= bool(got.usage)
-        told["finish_reason"] = got.finish_reason
-        fixed, new = R.repaired(got.payload, texts, pages, told["attempts"])
+        fixed, new = R.repaired(_called(provider, told, SYSTEM, user, o.max_tokens), texts, pages, told["attempts"])
         repairs.extend(new)
         return fixed
 
@@ -182,14 +179,37 @@ def items(payload: dict) -> dict[str, object]:
     return out | {f"boundary:{i}": b for i, b in enumerate(payload.get("limitations_and_boundaries") or [], 1)}
 
 
-def judge(provider: Provider, payload: dict, chunks: list[dict], o: Options) -> dict:
-    """Counts, scores and issues of a judged packet; two attempts.  An excerpt that isn't verbatim stays, unverified."""
+def _telemetry(provider: Provider) -> dict:
+    return {"model": provider.model, "attempts": 0, "usage": {}, "usage_complete": True, "latency_seconds": 0.0, "finish_reason": None}
+
+
+def _called(provider: Provider, told: dict, system: str, user: str, max_tokens: int) -> dict:
+    """The payload of a call, whose attempt, usage and latency are added to ``told`` whatever comes of it."""
+    told["attempts"] += 1
+    began = time.monotonic()
+    try:
+        got = provider.complete_json(system, user, max_tokens)
+    except ProviderError as e:
+        _add(told["usage"], e.usage)
+        told["usage_complete"] &= bool(e.usage)
+        raise
+    finally:
+        told["latency_seconds"] += time.monotonic() - began
+    _add(told["usage"], got.usage)
+    told["usage_complete"] &= bool(got.usage)
+    told["finish_reason"] = got.finish_reason
+    return got.payload
+
+
+def judge(provider: Provider, payload: dict, chunks: list[dict], o: Options, told: dict | None = None) -> dict:
+    """Counts, scores and issues of a judged packet; two attempts, counted in ``told``.  An excerpt that isn't verbatim stays, unverified."""
+    told = _telemetry(provider) if told is None else told
     known, texts = items(payload), {c["chunk_id"]: c["text"] for c in chunks}
     user = json.dumps({"items": known, "chunks": chunks}, ensure_ascii=False)
     error: Exception | None = None
     for _ in range(2):
         try:
-            got = provider.complete_json(JUDGE_SYSTEM, user, min(o.max_tokens, 4000)).payload
+            got = _called(provider, told, JUDGE_SYSTEM, user, min(o.max_tokens, 4000))
             wrong, missed = got.get("incorrect_items") or [], got.get("missed_core_items") or []
             ids = [x.get("item_id") for x in wrong]
             if set(ids) - set(known) or len(set(ids)) < len(ids):
@@ -207,40 +227,96 @@ def judge(provider: Provider, payload: dict, chunks: list[dict], o: Options) ->
         r = (n - bad) / (n - bad + lost) if n - bad + lost else 1.0
         f1 = 2 * p * r / (p + r) if p + r else 0.0
         return {"extracted": n, "incorrect": bad, "missed": lost, "precision": round(p, 4), "recall": round(r, 4), "f1": round(f1, 4), "missed_core_items": missed}
-    raise StageFailed("judge", str(error), {})
+    raise StageFailed("judge", str(error), told)
 
 
-RECORD = "paper_id string, status string, packet string, precision double, recall double, f1 double, attempts int, prompt_tokens long, completion_tokens long, usage_complete boolean, latency_seconds double, error_type string, error_message string"
+STAGE_COLUMNS = "attempts int, prompt_tokens long, completion_tokens long, usage_complete boolean, latency_seconds double, finish_reason string"
+RECORD = (
+    "paper_id string, status string, packet string, precision double, recall double, f1 double, deterministic_rule_score double, incorrect_item_count int, missed_core_item_count int, "
+    f"{STAGE_COLUMNS}, {', '.join('judge_' + c for c in STAGE_COLUMNS.split(', '))}, error_type string, error_message string"
+)
 
 
-def one_paper(provider: Provider, paper_id: str, chunks: list[dict], selected: list[int], focus: str, targets: tuple[str, ...], o: Options = Options()) -> dict:
-    """A record of one paper; errors become a failed record."""
-    out: dict = dict.fromkeys(f.split()[0] for f in RECORD.split(", ")) | {"paper_id": paper_id, "status": "failed"}
+def _stage(told: dict, prefix: str = "") -> dict:
+    """Telemetry as columns of a record."""
+    usage = told.get("usage", {})
+    out = {"attempts": told.get("attempts", 0), "usage_complete": told.get("usage_complete", True), "latency_seconds": round(told.get("latency_seconds", 0.0), 6), "finish_reason": told.get("finish_reason")}
+    out |= {"prompt_tokens": usage.get("prompt_tokens", usage.get("input_tokens", 0)), "completion_tokens": usage.get("completion_tokens", usage.get("output_tokens", 0))}
+    return {f"{prefix}{k}": v for k, v in out.items()}
+
+
+def _failed(e: Exception) -> dict:
+    return {"status": "failed", "packet": None, "error_type": getattr(e, "kind", type(e).__name__), "error_message": str(e)[:500]}
+
+
+def _whole(payload: dict) -> dict:
+    """A packet whose lists are all there."""
+    for q in _each(payload, "research_questions"):
+        q["study_units"] = q.get("study_units") or []
+        for u in q["study_units"]:
+            for kind in ("experiments_or_tasks", "datasets", "methods", "results", "claims", "evidence_spans"):
+                u[kind] = u.get(kind) or []
+            for x in [*u["results"], *u["claims"]]:
+                x["additional_provenance"] = x.get("additional_provenance") or []
+            for c in u["claims"]:
+                c["inference_basis_ids"] = c.get("inference_basis_ids") or []
+    return payload | {"limitations_and_boundaries": payload.get("limitations_and_boundaries") or []}
+
+
+def extracted_paper(provider: Provider, paper_id: str, chunks: list[dict], selected: list[int], focus: str, targets: tuple[str, ...], o: Options) -> dict:
+    """A record with the packet as the model and its repairs gave it (status ``extracted``); errors become a failed record."""
+    out: dict = dict.fromkeys(f.split()[0] for f in RECORD.split(", ")) | {"paper_id": paper_id} | _stage({}) | _stage({}, "judge_")
     try:
         mine = [c for c in chunks if c["ordinal"] in set(selected)]
         payload, repairs, flat, told = extract(provider, user_prompt(focus, targets, mine), mine, o)
-        scores = judge(provider, payload, chunks, o)
         notes = R.warnings(repairs, flat)
-        packet = payload | {
+        packet = _whole(payload) | {
             "schema_version": "2.2", "paper_id": paper_id, "validation_warnings": notes, "requires_reconciliation": bool(notes), "status": "provisional" if notes else "accepted",
-            "coverage_ledger": {c["chunk_id"]: "extracted" if c["ordinal"] in set(selected) else "not_selected" for c in chunks}, "quality_score": scores["f1"],
+            "coverage_ledger": {c["chunk_id"]: "extracted" if c["ordinal"] in set(selected) else "not_selected" for c in chunks},
         }
-        out |= {k: scores[k] for k in ("precision", "recall", "f1")}
+        out |= {"status": "extracted", "packet": json.dumps(packet, ensure_ascii=False, sort_keys=True)}
+    except Exception as e:  # a paper's trouble is its own
+        told = getattr(e, "telemetry", None) or {}
+        out |= _failed(e)
+    return out | _stage(told)
+
+
+def judged_paper(provider: Provider, record: dict, chunks: list[dict], rule_score: float | None, o: Options) -> dict:
+    """The ``extracted`` record with the judge's scores and telemetry: succeeded, or failed for its scores or the judge's trouble."""
+    told = _telemetry(provider)
+    out = record | {"deterministic_rule_score": rule_score}
+    try:
+        packet = json.loads(record["packet"])
+        scores = judge(provider, packet, chunks, o, told)
+        out |= {"precision": scores["precision"], "recall": scores["recall"], "f1": scores["f1"], "incorrect_item_count": scores["incorrect"], "missed_core_item_count": scores["missed"]}
+        packet |= {"quality_score": scores["f1"], "quality_assessment": {k: scores[k] for k in ("precision", "recall", "f1")} | {"extracted_item_count": scores["extracted"], "incorrect_item_count": scores["incorrect"], "missed_core_item_count": scores["missed"], "deterministic_rule_score": rule_score}}
         if scores["f1"] >= o.minimum_f1:
             out |= {"status": "succeeded", "packet": json.dumps(packet, ensure_ascii=False, sort_keys=True)}
         else:
-            out |= {"error_type": "quality", "error_message": f"f1 {scores['f1']} is under {o.minimum_f1}"}
-    except Exception as e:  # a paper's trouble is its own
-        told = getattr(e, "telemetry", None) or {}
-        out |= {"error_type": getattr(e, "kind", type(e).__name__), "error_message": str(e)[:500]}
-    usage = told.get("usage", {})
-    out |= {"attempts": told.get("attempts", 0), "usage_complete": told.get("usage_complete", True), "latency_seconds": round(told.get("latency_seconds", 0.0), 6)}
-    out |= {"prompt_tokens": usage.get("prompt_tokens", usage.get("input_tokens", 0)), "completion_tokens": usage.get("completion_tokens", usage.get("output_tokens", 0))}
-    return out
+            out |= {"status": "failed", "packet": None, "error_type": "quality", "error_message": f"f1 {scores['f1']} is under {o.minimum_f1}"}
+    except Exception as e:
+        out |= _failed(e)
+    return out | _stage(told, "judge_")
+
+
+def one_paper(provider: Provider, paper_id: str, chunks: list[dict], selected: list[int], focus: str, targets: tuple[str, ...], o: Options = Options()) -> dict:
+    """Both passes over one paper without the canonical step between them."""
+    out = extracted_paper(provider, paper_id, chunks, selected, focus, targets, o)
+    return judged_paper(provider, out, chunks, None, o) if out["status"] == "extracted" else out
+
+
+def canonical(first: DataFrame, planned: DataFrame) -> DataFrame:
+    """(paper_id, packet, score): packets of ``extracted`` records, boundaries noted, equal entities merged, scored by rules."""
+    p = first.filter("status = 'extracted'").select(F.from_json("packet", PACKET).alias("p")).select("p.*")
+    chosen = F.filter("chunks", lambda c: F.array_contains(F.col("selected"), c["ordinal"]))
+    about = planned.select(F.col("paper_id").cast("string").alias("__of"), F.col("classification.mode").alias("__mode"), collapse(F.array_join(F.transform(chosen, lambda c: c["text"]), " ")).alias("__text"))
+    noted = p.join(about, F.col("paper_id") == F.col("__of")).withColumn("limitations_and_boundaries", merging.note_missing_rescue(F.col("limitations_and_boundaries"), F.col("__mode"), F.col("__text")))
+    merged = stored(merging.canonicalize(noted.select(*p.columns)), "canonical")
+    return merged.select("paper_id", F.to_json(F.struct(*merged.columns)).alias("packet")).join(Q.rule_quality(merged).select("paper_id", "score"), "paper_id")
 
 
 def run(planned: DataFrame, make_provider: Callable[[], Provider], focus: dict[tuple[str, str], str] | None = None, o: Options = Options()) -> DataFrame:
-    """Records of planned papers; ``make_provider`` is called once a task."""
+    """Records of planned papers, whose ids are unique; ``make_provider`` is called once a task of either pass."""
     from evidentia.functions.profiles import mandatory
 
     d = planned.select(F.col("paper_id").cast("string").alias("paper_id"), F.to_json("chunks").alias("chunks"), "selected", F.col("classification.domain").alias("domain"), F.col("classification.mode").alias("mode"))
@@ -251,8 +327,21 @@ def run(planned: DataFrame, make_provider: Callable[[], Provider], focus: dict[t
             rows = []
             for r in b.itertuples(index=False):
                 told = (focus or {}).get((r.domain, r.mode), f"{r.domain}, {r.mode}")
-                rows.append(one_paper(provider, r.paper_id, json.loads(r.chunks), [int(x) for x in r.selected], told, mandatory(r.domain, r.mode), o))
+                rows.append(extracted_paper(provider, r.paper_id, json.loads(r.chunks), [int(x) for x in r.selected], told, mandatory(r.domain, r.mode), o))
+            if rows:
+                yield pd.DataFrame(rows)
+
+    def judging(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        provider = make_provider()
+        for b in batches:
+            rows = [judged_paper(provider, json.loads(r.record) | {"packet": r.canonical}, json.loads(r.chunks), None if pd.isna(r.score) else r.score, o) for r in b.itertuples(index=False)]
             if rows:
                 yield pd.DataFrame(rows)
 
-    return d.mapInPandas(work, RECORD)
+    first = stored(d.mapInPandas(work, RECORD), "extracted")
+    done = canonical(first, planned).select(F.col("paper_id").alias("__id"), F.col("packet").alias("canonical"), "score")
+    names = [c for c in first.columns if c != "packet"]
+    record = F.to_json(F.struct(*names), {"ignoreNullFields": "false"}).alias("record")
+    todo = first.filter("status = 'extracted'").join(done, F.col("paper_id") == F.col("__id")).select("paper_id", record, "canonical", "score").join(d.select("paper_id", "chunks"), "paper_id")
+    judged = stored(todo.select("record", "canonical", "score", "chunks").mapInPandas(judging, RECORD), "judged")
+    return judged.unionByName(first.filter("status = 'failed'"))

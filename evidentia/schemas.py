@@ -18,10 +18,11 @@ UNIT = (
 QUESTION = f"struct<question_id:string,statement:string,study_units:array<{UNIT}>>"
 WARNING = "struct<code:string,message:string,json_path:string,repair:string>"
 MERGE = "struct<surviving_id:string,merged_ids:array<string>,reason:string>"
+ASSESSMENT = "struct<precision:double,recall:double,f1:double,extracted_item_count:int,incorrect_item_count:int,missed_core_item_count:int,deterministic_rule_score:double>"
 PACKET = (
     "schema_version string, paper_id string, metadata map<string,string>, coverage_ledger map<string,string>, "
     f"research_questions array<{QUESTION}>, limitations_and_boundaries array<string>, quality_score double, status string, "
-    f"requires_reconciliation boolean, validation_warnings array<{WARNING}>, merge_decisions array<{MERGE}>"
+    f"requires_reconciliation boolean, validation_warnings array<{WARNING}>, merge_decisions array<{MERGE}>, quality_assessment {ASSESSMENT}"
 )
 CHUNK = "struct<id:string,ordinal:int,section_hint:string,page_start:int,page_end:int,char_count:int,token_estimate:int,content_sha256:string,text:string>"
 ARTIFACT = (

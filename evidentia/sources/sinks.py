@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidentia.operators.reporting import REPORT_COLUMNS
-from evidentia.schemas import INTERNAL
+from evidentia.schemas import INTERNAL, PACKET
 
 
 def _fs(spark: SparkSession, path: str):
@@ -51,14 +51,19 @@ def delivered(packets: DataFrame) -> DataFrame:
     return packets.drop(*INTERNAL)
 
 
+def packets(records: DataFrame) -> DataFrame:
+    """Packets of records, which hold them as JSON text."""
+    return records.select(F.from_json("packet", PACKET).alias("p")).select("p.*")
+
+
 def write_packets(packets: DataFrame, path: str) -> None:
     """One JSON line a packet, in a folder for each paper."""
     d = delivered(packets)
     d.select("paper_id", F.to_json(F.struct(*d.columns)).alias("value")).write.partitionBy("paper_id").text(path)
 
 
-def write_report(records: DataFrame, summary: DataFrame, path: str) -> None:
-    """summary (JSON), papers (JSON lines) and papers (CSV with fixed columns), published together."""
+def write_report(records: DataFrame, summary: DataFrame, path: str, planned: DataFrame | None = None) -> None:
+    """summary (JSON), papers (JSON lines), papers (CSV with fixed columns) and the extraction plans, published together."""
     spark = records.sparkSession
 
     def write(folder: str) -> None:
@@ -66,6 +71,9 @@ def write_report(records: DataFrame, summary: DataFrame, path: str) -> None:
         records.write.json(f"{folder}/papers_jsonl")
         have = set(records.columns)
         records.select(*(F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in REPORT_COLUMNS)).write.option("header", True).csv(f"{folder}/papers_csv")
+        if planned is not None:
+            chosen = F.filter("chunks", lambda c: F.array_contains(F.col("selected"), c["ordinal"]))
+            planned.select("paper_id", "source_sha256", "classification", F.transform(chosen, lambda c: c["chunk_id"]).alias("selected_chunk_ids"), F.col("selected").alias("selected_ordinals")).write.json(f"{folder}/plans")
 
     publish(spark, path, write)
 

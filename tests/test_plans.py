@@ -106,6 +106,59 @@ class ByChunk:
         return X.Completion(answer(c["chunk_id"]), {"prompt_tokens": 10})
 
 
+def test_judge_usage_counts_whatever_comes_of_it():
+    bad = {"incorrect_items": [{"item_id": "nope"}], "missed_core_items": []}
+    r = go(Fake(answer("c1"), verdicts=[X.ProviderError("busy", {"prompt_tokens": 3}), bad]))
+    assert (r["status"], r["error_type"], r["judge_attempts"], r["judge_prompt_tokens"], r["judge_completion_tokens"], r["attempts"]) == ("failed", "judge", 2, 13, 5, 1)
+    assert go(Fake(answer("c1"), verdicts=[X.ProviderError("busy"), {}]))["judge_usage_complete"] is False
+
+
+class Twice:
+    """States one result and claim twice, under other ids; the judge must be shown canonical ids, each once."""
+
+    name, model = "fake", "fake-1"
+
+    def complete_json(self, system, user, max_tokens):
+        if system == X.JUDGE_SYSTEM:
+            kinds = sorted(i.partition(":")[0] + ":" + i.rpartition(":")[2].partition("_")[0] for i in json.loads(user)["items"])
+            assert kinds == ["boundary:1", "claim:clm", "question:Q1", "result:res", "task:1"] or kinds[0] == "boundary:1" and "boundary:2" in kinds, kinds
+            return X.Completion({"incorrect_items": [], "missed_core_items": []}, {"prompt_tokens": 7, "completion_tokens": 2})
+        chunk = json.loads(user)["chunks"][0]["chunk_id"]
+        a = answer(chunk, results=["R1", "R2"])
+        claims = a["research_questions"][0]["study_units"][0]["claims"]
+        claims.append(claims[0] | {"claim_id": "C2", "inference_basis_ids": ["R2"]})
+        return X.Completion(a, {"prompt_tokens": 10, "completion_tokens": 5})
+
+
+def test_the_judged_packet_is_canonical_and_scored(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "007.pdf").write_bytes(pdf(TEXT))
+    out, report = str(tmp_path / "out"), str(tmp_path / "report")
+    a = cli.parser().parse_args(["extract-paper-study", "--paper-folder", str(tmp_path / "in"), "--output-folder", out, "--report-folder", report, "--provider", f"{__name__}:Twice"])
+    assert cli.extract(spark, a) == 0
+    r = spark.read.json(f"{report}/papers_jsonl").first()
+    assert (r.paper_id, r.attempts, r.judge_attempts, r.total_prompt_tokens, r.total_completion_tokens, r.total_tokens, r.usage_complete) == ("007", 1, 1, 17, 7, 24, True)
+    assert 0 < r.deterministic_rule_score <= 1 and (r.incorrect_item_count, r.missed_core_item_count, r.source_chunks, r.selected_chunks) == (0, 0, 1, 1) and r.output_file == f"{out}/paper_id=007"
+    s = spark.read.json(f"{report}/summary").first()
+    assert s.started_at < s.completed_at and s.total_tokens == 24
+    assert spark.read.json(f"{report}/plans").first().selected_ordinals == [1]
+    packet = json.loads(recovery.packets_in(spark, out).first().value)
+    unit = packet["research_questions"][0]["study_units"][0]
+    assert not {"status", "requires_reconciliation", "merge_decisions"} & set(packet) and packet["quality_assessment"]["deterministic_rule_score"] == r.deterministic_rule_score
+    assert unit["unit_id"].startswith("su_") and [x["result_id"][:4] for x in unit["results"]] == ["res_"] and [x["claim_id"][:4] for x in unit["claims"]] == ["clm_"]
+    assert unit["claims"][0]["inference_basis_ids"] == [unit["results"][0]["result_id"]]
+
+
+def test_a_causal_paper_without_rescue_is_noted(spark):
+    from evidentia.operators import merging
+
+    d = spark.createDataFrame([("a", TEXT)], "id string, text string")
+    planned = planning.plan(chunks.papers(d, "id", "text", chunks.line_pages(F.col("text"))))
+    causal = planned.withColumn("classification", F.col("classification").withField("mode", F.lit("causal_validation")))
+    notes = [json.loads(X.run(p, ByChunk).first().packet)["limitations_and_boundaries"] for p in (causal, planned)]
+    assert notes == [["b", merging.NO_RESCUE], ["b"]]
+
+
 def test_papers_fail_alone(spark):
     d = spark.createDataFrame([("a", TEXT), ("b", "poison")], "id string, text string")
     planned = planning.plan(chunks.papers(d, "id", "text", chunks.line_pages(F.col("text"))))
