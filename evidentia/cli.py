@@ -61,7 +61,7 @@ def _provider(name: str) -> Callable:
 def extract(spark: SparkSession, a: argparse.Namespace) -> int:
     from evidentia.operators import chunks, planning, reporting
     from evidentia.operators.validation import repeated, require_empty
-    from evidentia.plans import extraction
+    from evidentia.plans import extraction, ingestion
     from evidentia.sources import inputs, shared, sinks
 
     began = datetime.now(UTC)
@@ -75,7 +75,7 @@ def extract(spark: SparkSession, a: argparse.Namespace) -> int:
         entries = inputs.discover(spark, a.paper_folder, a.index)
         papers = inputs.artifact_papers(inputs.artifacts(spark, [r[0] for r in entries.select("source_path").collect()]))
     else:
-        papers = inputs.pdf_papers(spark, a.paper_folder)
+        papers = inputs.artifact_papers(ingestion.ingest(spark, a.paper_folder))
     make = _provider(a.provider)
     o = extraction.Options(a.validation_retries, a.max_tokens, a.minimum_quality_score)
     require_empty(repeated(papers, ["paper_id"]), "paper ids repeat")

@@ -25,14 +25,16 @@ def feed_pages(text: Column) -> Column:
     return F.split(text, "\f")
 
 
-def papers(sources: DataFrame, paper_id: str, content: str, pages: Column) -> DataFrame:
-    """(paper_id, source_sha256, chunks): one row a paper, a chunk for each page with text.
+def papers(sources: DataFrame, paper_id: str, content: str, pages: Column, keep: tuple[str, ...] = (), sha: Column | None = None) -> DataFrame:
+    """(paper_id, source_sha256, chunks, and columns to ``keep``): one row a paper, a chunk for each page with text.
+
+    ``sha`` is the digest of the source's bytes where ``content`` isn't the source itself.
 
     Ordinals count pages with text without gaps; page numbers count all.  Papers without
     any text have no chunks (``violations`` reports them).  Null content counts as empty.
     """
     found = F.filter(F.transform(pages, lambda p, i: F.struct((i + 1).alias("page"), strip(p).alias("text"))), lambda p: p["text"] != "")
-    d = sources.select(F.col(paper_id).alias("paper_id"), F.sha2(F.coalesce(F.col(content), F.lit("")), 256).alias("source_sha256"), F.coalesce(found, F.array()).alias("pages"))
+    d = sources.select(F.col(paper_id).alias("paper_id"), (F.sha2(F.coalesce(F.col(content), F.lit("")), 256) if sha is None else sha).alias("source_sha256"), F.coalesce(found, F.array()).alias("pages"), *keep)
 
     def chunk(p: Column, i: Column) -> Column:
         sha = F.sha2(p["text"], 256)
@@ -42,7 +44,7 @@ def papers(sources: DataFrame, paper_id: str, content: str, pages: Column) -> Da
             F.length(p["text"]).alias("char_count"), token_estimate(p["text"]).alias("token_estimate"), sha.alias("content_sha256"), p["text"].alias("text"),
         )
 
-    return d.select("paper_id", "source_sha256", F.transform("pages", chunk).alias("chunks"))
+    return d.select("paper_id", "source_sha256", F.transform("pages", chunk).alias("chunks"), *keep)
 
 
 def unnest(papers_: DataFrame, structs: Column, key: str) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -35,41 +37,36 @@ def _files(spark: SparkSession, path: str) -> list[str]:
     return sorted(out)
 
 
-def _first(entry: dict, keys: tuple[str, ...]) -> object:
-    return next((entry[k] for k in keys if k in entry), None)
+def _entry(raw: object) -> tuple[dict, str | None]:
+    """An index entry as paper_id, source_path, metadata; and what is wrong with it, if anything is."""
+    e = {"path": raw} if isinstance(raw, str) else raw if isinstance(raw, dict) else None
+    if e is None:
+        return {}, "is neither a path nor an object"
+    path, name, more = ([e[k] for k in keys if k in e][:1] for keys in (PATH_KEYS, ID_KEYS, ("metadata",)))
+    path, name, more = path[0] if path else None, name[0] if name else None, more[0] if more else {}
+    if name in (None, ""):
+        name = re.sub(r"(?<=.)\.[^.]*$", "", path.rstrip("/").rpartition("/")[2]) if isinstance(path, str) else ""
+    problems = {
+        "has no path": not isinstance(path, str) or not path.strip(),
+        "has metadata that is no object": not isinstance(more, dict),
+        "has an empty id": not str(name).strip(),
+    }
+    wrong = [text for text, found in problems.items() if found]
+    return ({}, wrong[0]) if wrong else ({"paper_id": str(name).strip(), "source_path": path, "metadata": {str(k): str(v) for k, v in more.items() if v is not None}}, None)
 
 
 def index_entries(payload: object) -> list[dict]:
-    """Entries (paper_id, source_path, metadata) of an index: a list, or an object with a list named papers or items."""
-    if isinstance(payload, dict):
-        lists = [payload[k] for k in ("papers", "items") if k in payload]
-        if len(lists) != 1 or not isinstance(lists[0], list):
-            raise ValueError("an index object holds exactly one list: papers or items")
-        payload = lists[0]
-    if not isinstance(payload, list):
-        raise ValueError("an index is a JSON list or object")
-    out = []
-    for n, entry in enumerate(payload, 1):
-        if isinstance(entry, str):
-            entry = {"path": entry}
-        if not isinstance(entry, dict):
-            raise ValueError(f"index entry {n} is neither a path nor an object")
-        path, name, metadata = _first(entry, PATH_KEYS), _first(entry, ID_KEYS), entry.get("metadata", {})
-        if not isinstance(path, str) or not path.strip():
-            raise ValueError(f"index entry {n} has no path")
-        if not isinstance(metadata, dict):
-            raise ValueError(f"index entry {n}: metadata is no object")
-        stem = re.sub(r"(?<=.)\.[^.]*$", "", path.rstrip("/").rpartition("/")[2])
-        name = stem if name in (None, "") else str(name).strip()
-        if not name:
-            raise ValueError(f"index entry {n} has an empty id")
-        out.append({"paper_id": name, "source_path": path, "metadata": {str(k): str(v) for k, v in metadata.items() if v is not None}})
-    if not out:
-        raise ValueError("the index has no entries")
-    names = [e["paper_id"] for e in out]
-    if twice := sorted({x for x in names if names.count(x) > 1}):
-        raise ValueError(f"ids repeat: {twice}")
-    return sorted(out, key=lambda e: (e["paper_id"].casefold(), e["source_path"]))
+    """Entries (paper_id, source_path, metadata) of an index: a list, or an object with a list named papers or items.  Anything else is a ValueError."""
+    named = [payload[k] for k in ("papers", "items") if k in payload] if isinstance(payload, dict) else [payload]
+    if len(named) != 1 or not isinstance(named[0], list) or not named[0]:
+        raise ValueError("an index is a JSON list with entries, or an object with exactly one: papers or items")
+    read = [_entry(raw) for raw in named[0]]
+    wrong = [f"entry {n} {problem}" for n, (_, problem) in enumerate(read, 1) if problem]
+    counts = Counter(e["paper_id"] for e, problem in read if not problem)
+    wrong += [f"id {k} repeats" for k, n in sorted(counts.items()) if n > 1]
+    if wrong:
+        raise ValueError(f"index: {'; '.join(wrong[:10])}")
+    return sorted((e for e, _ in read), key=lambda e: (e["paper_id"].casefold(), e["source_path"]))
 
 
 def discover(spark: SparkSession, folder: str, index: str | None = None, index_name: str = INDEX_NAME, state: str = STATE_FOLDER) -> DataFrame:
@@ -126,21 +123,48 @@ def pdf_text(content: bytes) -> list[str]:
     return pages
 
 
-def pdf_papers(spark: SparkSession, folder: str, parse: Callable[[bytes], list[str]] = pdf_text, state: str = STATE_FOLDER) -> DataFrame:
-    """Papers of the PDF files under a folder, hidden state folders left out."""
+def _binary(spark: SparkSession, folder: str, state: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.[pP][dD][fF]").load(folder)
-    files = files.filter(~F.contains("path", F.lit(f"/{state}/"))).select("path", F.sha2("content", 256).alias("sha"), "content")
+    return files.filter(~F.contains("path", F.lit(f"/{state}/")))
+
+
+def _root(spark: SparkSession, folder: str) -> str:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/") + "/"
+
+
+def _named(spark: SparkSession, files: DataFrame, folder: str) -> DataFrame:
+    """paper_id and source_file, the path under ``folder``: ids don't change when the folder moves."""
+    root = _root(spark, folder)
+    return paper_ids(files.withColumn("source_file", F.when(F.startswith("path", F.lit(root)), F.substring("path", len(root) + 1, 2**30)).otherwise(F.col("path"))), "source_file")
+
+
+def pdf_files(spark: SparkSession, folder: str, state: str = STATE_FOLDER) -> DataFrame:
+    """(paper_id, path, source_file, source_sha256) of the PDF files under a folder, hidden state folders left out."""
+    files = _binary(spark, folder, state).select("path", F.sha2("content", 256).alias("source_sha256"))
+    return _named(spark, files, folder).select("paper_id", "path", "source_file", "source_sha256")
+
+
+def parsed(spark: SparkSession, folder: str, parse: Callable[[bytes], list[str]] = pdf_text, state: str = STATE_FOLDER, only: DataFrame | None = None) -> DataFrame:
+    """(paper_id, path, source_file, source_sha256, chunks) of PDF files; text and digest come from one read of the bytes.
+
+    Ids come from paths alone, so contents aren't shuffled; ``only`` (path) picks files.
+    """
+    content = _binary(spark, folder, state).select("path", "content")
+    if only is not None:
+        content = content.join(only.select("path"), "path", "left_semi")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"path": b["path"], "sha": b["sha"], "pages": [parse(c) for c in b["content"]]})
-
-    read = files.mapInPandas(run, "path string, sha string, pages array<string>")
-    d = papers(paper_ids(read).withColumn("__text", F.array_join("pages", "\f")), "paper_id", "sha", F.col("pages"))
-    # ids derive from the file's bytes, not from a hash of their hash
-    return d.join(paper_ids(files.select("path", "sha")).select("paper_id", "sha", "path"), "paper_id").withColumns(
-        {
-            "source_sha256": F.col("sha"),
-            "chunks": F.transform("chunks", lambda c: c.withField("chunk_id", F.substring(F.sha2(F.concat_ws(":", F.col("sha"), c["page_start"].cast("string"), c["content_sha256"]), 256), 1, 20))),
-        }
-    ).drop("sha")
+            yield pd.DataFrame({"path": b["path"], "sha": [hashlib.sha256(c).hexdigest() for c in b["content"]], "pages": [parse(c) for c in b["content"]]})
+
+    ids = _named(spark, _binary(spark, folder, state).select("path"), folder)
+    read = content.mapInPandas(run, "path string, sha string, pages array<string>").join(ids, "path").withColumn("__text", F.lit(""))
+    keep = read.select("paper_id", "path", "source_file", F.col("sha").alias("source_sha256"), "pages", "__text")
+    d = papers(keep, "paper_id", "__text", F.col("pages"), keep=("path", "source_file"), sha=F.col("source_sha256"))
+    return d
+
+
+def pdf_papers(spark: SparkSession, folder: str, parse: Callable[[bytes], list[str]] = pdf_text, state: str = STATE_FOLDER) -> DataFrame:
+    """Papers of the PDF files under a folder, hidden state folders left out."""
+    return parsed(spark, folder, parse, state)

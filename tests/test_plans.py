@@ -275,3 +275,55 @@ def test_recovery_adds_without_overwriting(spark, tmp_path):
         recovery.recover(spark, str(report), drifted, str(tmp_path / "d2"), str(tmp_path / "audit3"), ByChunk)
     with pytest.raises(ValueError):
         recovery.recover(spark, str(report), papers, delivery, str(tmp_path / "audit4"), ByChunk, ["d"])
+
+
+def test_ingestion_reuses_what_has_not_changed(spark, tmp_path):
+    from evidentia.plans import ingestion
+
+    folder = tmp_path / "in"
+    (folder / "sub").mkdir(parents=True)
+    for name, text in (("a.pdf", "one"), ("b.pdf", "two"), ("sub/a.pdf", "three")):
+        (folder / name).write_bytes(pdf(text))
+    seen = str(tmp_path / "seen")
+
+    def parse(content):
+        with open(seen, "a") as f:
+            f.write("x")
+        return inputs.pdf_text(content)
+
+    first = {r.paper_id: r for r in ingestion.ingest(spark, str(folder), parse).collect()}
+    assert len(open(seen).read()) == 3 and {r.source_file for r in first.values()} == {"a.pdf", "b.pdf", "sub/a.pdf"} and "b" in first
+    (folder / "b.pdf").write_bytes(pdf("four"))
+    again = {r.paper_id: r for r in ingestion.ingest(spark, str(folder), parse).collect()}
+    assert len(open(seen).read()) == 4 and again.keys() == first.keys() and again["b"].chunks[0].text == "four"
+    assert all(again[k] == first[k] for k in first if k != "b")
+    moved = tmp_path / "moved"
+    folder.rename(moved)
+    assert {r.paper_id for r in ingestion.ingest(spark, str(moved), parse).collect()} == set(first) and len(open(seen).read()) == 4
+    texts = {json.loads(r.value)["paper_id"]: r.value for r in spark.read.text(str(moved / ".evidentia" / "texts")).collect()}
+    import hashlib
+
+    assert hashlib.sha256(texts["b"].encode()).hexdigest() == again["b"].text_artifact_sha256
+    (moved / "empty.pdf").write_bytes(pdf(""))
+    with pytest.raises(ValueError):
+        ingestion.ingest(spark, str(moved), parse)
+
+
+def test_a_file_that_changes_while_it_is_read(spark, tmp_path):
+    from evidentia.plans import ingestion
+
+    (tmp_path / "a.pdf").write_bytes(pdf("one"))
+    files = inputs.pdf_files
+
+    def then_changed(*args):
+        d = spark.createDataFrame(files(*args).collect())
+        (tmp_path / "a.pdf").write_bytes(pdf("two"))
+        return d
+
+    inputs.pdf_files = then_changed
+    try:
+        with pytest.raises(ValueError, match="changed while"):
+            ingestion.ingest(spark, str(tmp_path))
+    finally:
+        inputs.pdf_files = files
+    assert not (tmp_path / ".evidentia").exists()
