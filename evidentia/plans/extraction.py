@@ -263,7 +263,7 @@ def _whole(payload: dict) -> dict:
     return payload | {"limitations_and_boundaries": payload.get("limitations_and_boundaries") or []}
 
 
-def extracted_paper(provider: Provider, paper_id: str, chunks: list[dict], selected: list[int], focus: str, targets: tuple[str, ...], o: Options) -> dict:
+def extracted_paper(provider: Provider, paper_id: str, chunks: list[dict], selected: list[int], focus: str, targets: tuple[str, ...], o: Options, metadata: dict[str, str] | None = None) -> dict:
     """A record with the packet as the model and its repairs gave it (status ``extracted``); errors become a failed record."""
     out: dict = dict.fromkeys(f.split()[0] for f in RECORD.split(", ")) | {"paper_id": paper_id} | _stage({}) | _stage({}, "judge_")
     try:
@@ -271,7 +271,7 @@ def extracted_paper(provider: Provider, paper_id: str, chunks: list[dict], selec
         payload, repairs, flat, told = extract(provider, user_prompt(focus, targets, mine), mine, o)
         notes = R.warnings(repairs, flat)
         packet = _whole(payload) | {
-            "schema_version": "2.2", "paper_id": paper_id, "validation_warnings": notes, "requires_reconciliation": bool(notes), "status": "provisional" if notes else "accepted",
+            "schema_version": "2.2", "paper_id": paper_id, "metadata": metadata or {}, "validation_warnings": notes, "requires_reconciliation": bool(notes), "status": "provisional" if notes else "accepted",
             "coverage_ledger": {c["chunk_id"]: "extracted" if c["ordinal"] in set(selected) else "not_selected" for c in chunks},
         }
         out |= {"status": "extracted", "packet": json.dumps(packet, ensure_ascii=False, sort_keys=True)}
@@ -319,7 +319,11 @@ def run(planned: DataFrame, make_provider: Callable[[], Provider], focus: dict[t
     """Records of planned papers, whose ids are unique; ``make_provider`` is called once a task of either pass."""
     from evidentia.functions.profiles import mandatory
 
-    d = planned.select(F.col("paper_id").cast("string").alias("paper_id"), F.to_json("chunks").alias("chunks"), "selected", F.col("classification.domain").alias("domain"), F.col("classification.mode").alias("mode"))
+    # what a packet says of its source comes from here, whatever the model writes
+    own = {c: F.col(c).cast("string") for c in ("source_file", "source_sha256") if c in planned.columns}
+    own |= {"domain": F.col("classification.domain"), "logic_mode": F.col("classification.mode"), "selected_chunks": F.size("selected").cast("string"), "source_chunks": F.size("chunks").cast("string")}
+    metadata = F.to_json(F.map_filter(F.create_map(*(x for k, c in own.items() for x in (F.lit(k), c))), lambda _, v: v.isNotNull())).alias("metadata")
+    d = planned.select(metadata, F.col("paper_id").cast("string").alias("paper_id"), F.to_json("chunks").alias("chunks"), "selected", F.col("classification.domain").alias("domain"), F.col("classification.mode").alias("mode"))
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         provider = make_provider()
@@ -327,7 +331,7 @@ def run(planned: DataFrame, make_provider: Callable[[], Provider], focus: dict[t
             rows = []
             for r in b.itertuples(index=False):
                 told = (focus or {}).get((r.domain, r.mode), f"{r.domain}, {r.mode}")
-                rows.append(extracted_paper(provider, r.paper_id, json.loads(r.chunks), [int(x) for x in r.selected], told, mandatory(r.domain, r.mode), o))
+                rows.append(extracted_paper(provider, r.paper_id, json.loads(r.chunks), [int(x) for x in r.selected], told, mandatory(r.domain, r.mode), o, json.loads(r.metadata)))
             if rows:
                 yield pd.DataFrame(rows)
 

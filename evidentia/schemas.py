@@ -44,3 +44,7 @@ EVENT_KINDS = ("assertion_added", "evidence_added", "relation_added", "batch_com
 
 #: What a delivered packet leaves out.
 INTERNAL = ("status", "requires_reconciliation", "merge_decisions")
+PACKET_FIELDS = (
+    "schema_version", "paper_id", "metadata", "coverage_ledger", "research_questions", "limitations_and_boundaries", "quality_score", "status", "requires_reconciliation", "validation_warnings", "merge_decisions",
+    "quality_assessment",
+)

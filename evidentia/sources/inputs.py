@@ -93,7 +93,7 @@ def artifacts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def artifact_papers(artifacts_: DataFrame) -> DataFrame:
     """Artifacts as papers with chunks."""
-    return artifacts_.select("paper_id", "source_sha256", F.transform("chunks", lambda c: c.withField("chunk_id", c["id"]).dropFields("id")).alias("chunks"))
+    return artifacts_.select("paper_id", "source_file", "source_sha256", F.transform("chunks", lambda c: c.withField("chunk_id", c["id"]).dropFields("id")).alias("chunks"))
 
 
 def pdf_text(content: bytes) -> list[str]:

@@ -78,11 +78,13 @@ def write_report(records: DataFrame, summary: DataFrame, path: str, planned: Dat
     publish(spark, path, write)
 
 
-def write_bundle(packets: DataFrame, chunks: DataFrame, crosswalks: DataFrame, manifest: DataFrame, path: str) -> None:
-    """Packets, chunks, crosswalks and their manifest, published together."""
+def write_bundle(documents: dict[str, DataFrame], records: DataFrame, manifest: DataFrame, path: str) -> None:
+    """Documents by kind (paper_id, value), a folder for each paper; a row a paper with paths and digests, by group and in natural order; the groups' manifest.  Published together."""
 
     def write(folder: str) -> None:
-        for name, d in (("packets", delivered(packets)), ("chunks", chunks), ("crosswalks", crosswalks), ("manifest", manifest)):
-            d.write.json(f"{folder}/{name}")
+        for name, d in documents.items():
+            d.write.partitionBy("paper_id").text(f"{folder}/{name}")
+        records.repartitionByRange("horizon", "group", "order_key").sortWithinPartitions("horizon", "group", "order_key").drop("order_key").write.json(f"{folder}/papers")
+        manifest.orderBy("horizon", "group").write.json(f"{folder}/manifest")
 
-    publish(packets.sparkSession, path, write)
+    publish(records.sparkSession, path, write)

@@ -327,3 +327,46 @@ def test_a_file_that_changes_while_it_is_read(spark, tmp_path):
     finally:
         inputs.pdf_files = files
     assert not (tmp_path / ".evidentia").exists()
+
+
+def test_export_guards(spark, tmp_path):
+    import hashlib
+
+    body = pdf(TEXT)
+    for h in ("long", "short"):
+        (tmp_path / h / "g").mkdir(parents=True)
+        (tmp_path / h / "g" / "a.pdf").write_bytes(body)
+    sha = hashlib.sha256(body).hexdigest()
+    chunk = hashlib.sha256(f"{sha}:1:{hashlib.sha256(TEXT.encode()).hexdigest()}".encode()).hexdigest()[:20]
+
+    def packet(**changes):
+        return answer(chunk) | {"schema_version": "2.2", "paper_id": "a", "coverage_ledger": {chunk: "extracted"}, "metadata": {"source_file": "a.pdf", "source_sha256": sha}, "status": "accepted"} | changes
+
+    def out(name, p, horizon="long", stem="a"):
+        folder = tmp_path / name / horizon / "g"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{stem}.json").write_text(json.dumps(p))
+        return str(tmp_path / name)
+
+    root = out("good", packet())
+    out("good", packet(), "short")
+    target = tmp_path / "bundle"
+    export.export(spark, str(tmp_path), root, str(target))
+    rows = sorted(spark.read.json(str(target / "papers")).collect(), key=lambda r: r.paper_id)
+    assert [(r.paper_id, r.horizon, r.group, r.chunk_count, r.reference_count, r.minimum_similarity, r.source_pdf_path) for r in rows] == [(f"a_{h}", h, "g", 1, 2, 1.0, f"{h}/g/a.pdf") for h in ("long", "short")]
+    for r in rows:
+        for kind in ("packet", "chunk", "crosswalk"):
+            (file,) = (target / r[f"{kind}_path"]).glob("part-*")
+            assert hashlib.sha256(file.read_bytes().rstrip(b"\n")).hexdigest() == r[f"{kind}_sha256"]
+        assert r.source_packet_sha256 == hashlib.sha256(json.dumps(packet()).encode()).hexdigest()
+    kept = json.loads(next((target / rows[0].packet_path).glob("part-*")).read_text())
+    assert kept["metadata"]["ablation_original_paper_id"] == "a" and "status" not in kept
+    for i, (p, stem, rule) in enumerate((
+        (packet(metadata={"source_file": "a.pdf", "source_sha256": "0"}), "a", "source_differs"), (packet(metadata={"source_file": "a.pdf"}), "a", "source_differs"), (packet(metadata={"source_file": "../g/a.pdf", "source_sha256": sha}), "a", "source_escapes_group"),
+        (packet(metadata={"source_file": "b.pdf", "source_sha256": sha}), "a", "source_missing"), (packet(), "c", "name_differs"),
+    )):
+        with pytest.raises(ValueError, match=rule):
+            export.export(spark, str(tmp_path), out(f"bad{i}", p, stem=stem), str(tmp_path / f"no{i}"))
+        assert not (tmp_path / f"no{i}").exists()
+    with pytest.raises(ValueError, match="no packets"):
+        export.export(spark, str(tmp_path), str(tmp_path / "nothing"), str(tmp_path / "no"))
