@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from evidentia.catalog.planning import PAGES_SQL, PROSE, papers, plan_sql, table
-from evidentia.functions.conditions import conditions
+from evidentia.functions.conditions import DOSE, GENOTYPE, STAGE, TIME, UNITS, conditions
 from evidentia.functions.similarity import ratio_udf
 from evidentia.functions.text import collapse, scientific
 from evidentia.operators import canonical as K
@@ -32,17 +32,36 @@ def provenance_overlap(spark, sf_dir):
     return _provenance(spark, sf_dir).filter("overlaps and problem is not null").select("paper_id", "chunk_id", "page_start", "page_end")
 
 
+#: Passages that one literal may hold; with more, words are joined.
+MOST_PASSAGES = 5000
+
+
 def excerpt_verified(spark, sf_dir):
-    """Documents that hold each benchmark passage.  Words of the passage find candidates by equality, the whole passage settles them."""
+    """Documents that hold each benchmark passage.
+
+    A passage of three words or more is looked for in the documents that have its longest inner word, which is a whole
+    word there, too; shorter ones in all, being a set of queries of checked size.
+    """
     item = table(spark, sf_dir, "benchmark").select("item_id", collapse("text").alias("excerpt"))
     docs = table(spark, sf_dir, "documents").select("doc_id", collapse("text").alias("source"))
-    # a passage's longest word is an equality key into the documents' words; it is a whole word there, too, unless it ends the passage
     inner = F.expr("slice(split(excerpt, ' '), 2, greatest(size(split(excerpt, ' ')) - 2, 0))")
     longest = F.aggregate(inner, F.lit(""), lambda a, w: F.when(F.length(w) > F.length(a), w).otherwise(a))
-    keyed = item.withColumn("word", longest)
-    words = docs.select("doc_id", F.explode(F.array_distinct(F.split("source", " "))).alias("word"))
-    near = words.join(keyed.filter("word <> ''"), "word").select("doc_id", "item_id", "excerpt").join(docs, "doc_id")
-    hits = near.filter(F.contains("source", F.col("excerpt"))).groupBy("item_id").agg(F.count("*").alias("n_documents"))
+    keyed = item.filter("excerpt is not null").withColumn("word", longest)
+    words = [r[0] for r in keyed.filter("word <> ''").select("word").distinct().limit(MOST_PASSAGES + 1).collect()]
+    short = keyed.filter("word = ''").drop("word")
+    if len(words) <= MOST_PASSAGES:
+        # few words: each document is cut into words once, and only those wanted leave its row
+        wanted = F.array(*map(F.lit, words)) if words else F.array().cast("array<string>")
+        near = docs.withColumn("word", F.explode(F.array_intersect(F.split("source", " "), wanted))).join(F.broadcast(keyed), "word")
+    else:
+        each = docs.select("doc_id", F.explode(F.array_distinct(F.split("source", " "))).alias("word"))
+        near = each.join(keyed.filter("word <> ''"), "word").select("doc_id", "item_id", "excerpt").join(docs, "doc_id")
+    hits = near.filter(F.contains("source", F.col("excerpt"))).select("item_id")
+    if n := short.limit(MOST_PASSAGES + 1).count():
+        if n > MOST_PASSAGES:
+            raise ValueError(f"over {MOST_PASSAGES} passages of one or two words")
+        hits = hits.unionByName(docs.join(F.broadcast(short), F.contains("source", F.col("excerpt"))).select("item_id"))
+    hits = hits.groupBy("item_id").agg(F.count("*").alias("n_documents"))
     return item.select("item_id").join(hits, "item_id", "left").fillna(0, ["n_documents"])
 
 
@@ -60,8 +79,8 @@ def evidence_strength(spark, sf_dir):
 
 
 def rule_quality_boundaries(spark, sf_dir):
-    lines = F.slice(F.split("text", "\n"), 1, 5)
-    d = table(spark, sf_dir, "documents").select("doc_id", Q.boundaries(lines).alias("c"))
+    """The lines of each document as boundaries."""
+    d = table(spark, sf_dir, "documents").select("doc_id", Q.boundaries(F.split("text", "\n")).alias("c"))
     return d.select("doc_id", "c.passed", "c.ratio", F.array_join(F.transform("c.warnings", lambda w: w["code"]), ",").alias("codes"))
 
 
@@ -127,7 +146,7 @@ def protected_conditions(spark, sf_dir):
     """Conditions by the prose's own words and by digits with units."""
     words = {"negation": {"no": "no", "la": "of"}, "direction": {"de": "down", "the": "up"}, "modality": {"der": "the"}}
     d = table(spark, sf_dir, "documents").select("doc_id", F.explode(conditions(scientific(F.col("text"), False), words)).alias("condition"))
-    return d.groupBy("condition").agg(F.count("*").alias("n_documents")).filter(F.col("condition").rlike("^(negation|direction|modality):"))
+    return d.groupBy("condition").agg(F.count("*").alias("n_documents"))
 
 
 def _lines(spark, sf_dir):
@@ -169,8 +188,9 @@ def complete_link(spark, sf_dir):
 
 
 def similarity_ratio(spark, sf_dir):
-    """How well the head of each document, one character left out, stands in its whole text."""
-    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.substring("text", 1, 30), F.substring("text", 32, 30)).alias("e"), "text")
+    """How well a passage from anywhere in each document, one character left out, stands in its whole text."""
+    at = F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1), F.length("text") - 60)).cast("int") + 1
+    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.substring("text", at, F.lit(30)), F.substring("text", at + 31, F.lit(30))).alias("e"), "text")
     return d.select("doc_id", F.round(ratio_udf("e", "text"), 6).alias("ratio"))
 
 
@@ -180,7 +200,7 @@ def broken_basis_refs(spark, sf_dir):
 
 
 def coverage_gaps(spark, sf_dir):
-    """Chunks without a selected one of the same section, both ways."""
+    """Chunks whose ordinal isn't among the paper's selected ones, both ways."""
     planned = P.plan(papers(spark, sf_dir), PROSE)
     return V.set_differences(chunk_rows(planned).select("paper_id", "ordinal"), P.selected_rows(planned).select("paper_id", "ordinal"), ["paper_id", "ordinal"])
 
@@ -205,6 +225,9 @@ QUERIES = {
 _MADE = f"""{PAGES_SQL}, made AS (SELECT paper_id, chunk_id, page, page - CASE WHEN (paper_id + ordinal) % 3 = 2 THEN 1 ELSE 0 END AS page_start, page + CASE WHEN (paper_id + ordinal) % 3 = 1 THEN 1 ELSE 0 END AS page_end FROM chunks),
 met AS (SELECT *, CASE WHEN page_start >= page AND page_end <= page THEN 'ok' ELSE 'outside_chunk' END AS problem, page <= page_end AND page >= page_start AS meets FROM made)"""
 _COLLAPSED = r"trim(regexp_replace({0}, '\s+', ' ', 'g'))"
+_UNIT = r"regexp_extract(m, '^\d+(?:\.\d+)?\s*(.*)$', 1)"
+_NUMBER = r"regexp_replace(regexp_extract(m, '^\d+(?:\.\d+)?'), '^0+(\d)', '\1')"
+_QUANTITY = rf"CASE WHEN contains({_NUMBER}, '.') THEN regexp_replace({_NUMBER}, '\.?0+$', '') ELSE {_NUMBER} END || ' ' || CASE {_UNIT} {' '.join(f"WHEN '{a}' THEN '{b}'" for a, b in UNITS.items())} ELSE {_UNIT} END"
 _COND = "scientific AS (SELECT doc_id, ' ' || trim(regexp_replace(regexp_replace(replace(lower(text), 'ß', 'ss'), '[^\\p{L}\\p{N}_.%<>=!+\\-/]+', ' ', 'g'), '\\s+', ' ', 'g')) || ' ' AS t FROM documents)"
 
 ORACLE_SQL = {
@@ -220,7 +243,7 @@ WITH e AS (SELECT user_id, CASE WHEN event_type = 'purchase' THEN value / 200 EN
 SELECT user_id, round_even(CAST(count(p) AS DOUBLE) / count(*), 4) AS statistical_support_coverage, round_even(CAST(count(n) AS DOUBLE) / count(*), 4) AS sample_size_coverage,
        round_even(avg(least(1.0, ln(1 + n) / ln(1001))), 4) AS sample_size_log_score FROM e GROUP BY 1""",
     "rule_quality_boundaries": r"""
-WITH b AS (SELECT doc_id, string_split(text, chr(10))[1:5] AS bs FROM documents),
+WITH b AS (SELECT doc_id, string_split(text, chr(10)) AS bs FROM documents),
 n AS (SELECT doc_id, bs, list_transform(list_filter(bs, lambda x: trim(x) <> ''), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))) AS k FROM b),
 m AS (SELECT doc_id, len(k) AS n, len(list_distinct(list_transform(k, lambda x: replace(lower(x), 'ß', 'ss')))) AS u, len(list_filter(k, lambda x: length(x) < 40)) AS short, len(bs) - len(k) AS blank FROM n),
 p AS (SELECT *, CAST(n > 0 AS INTEGER) + CAST(u >= 3 AS INTEGER) + CAST(n > 0 AND u = n AS INTEGER) + CAST(n > 0 AND short = 0 AS INTEGER) + CAST(blank = 0 AS INTEGER) AS passed FROM m)
@@ -229,7 +252,11 @@ SELECT doc_id, passed, round_even(passed / 5, 6) AS ratio, concat_ws(',', CASE W
     "rule_quality_structure": f"WITH {_LINES} SELECT paper_id, passed, total, ratio, codes FROM structure",
     "rule_quality_provenance": f"WITH {_LINES} SELECT paper_id, passed, total, ratio, codes FROM provenance",
     "rule_quality_score": f"WITH {_LINES} SELECT paper_id, round_even(round_even(s.ratio * 0.5, 6) + round_even(p.ratio * 0.35, 6) + round_even(0.6 * 0.15, 6), 4) AS score FROM structure s JOIN provenance p USING (paper_id)",
-    "protected_conditions": f"WITH {_COND} SELECT c AS condition, count(*) AS n_documents FROM (SELECT doc_id, unnest(list_filter([CASE WHEN contains(t, ' no ') THEN 'negation:no' END, CASE WHEN contains(t, ' la ') THEN 'negation:of' END, CASE WHEN contains(t, ' de ') THEN 'direction:down' END, CASE WHEN contains(t, ' the ') THEN 'direction:up' END, CASE WHEN contains(t, ' der ') THEN 'modality:the' END], lambda x: x IS NOT NULL)) AS c FROM scientific) GROUP BY 1",
+    "protected_conditions": f"""WITH {_COND}
+SELECT c AS condition, count(*) AS n_documents FROM (SELECT doc_id, unnest(list_distinct(list_concat(
+  list_filter([CASE WHEN contains(t, ' no ') THEN 'negation:no' END, CASE WHEN contains(t, ' la ') THEN 'negation:of' END, CASE WHEN contains(t, ' de ') THEN 'direction:down' END, CASE WHEN contains(t, ' the ') THEN 'direction:up' END, CASE WHEN contains(t, ' der ') THEN 'modality:the' END], lambda x: x IS NOT NULL),
+  list_transform(regexp_extract_all(t, '{STAGE}'), lambda m: 'development_stage:' || m), list_transform(regexp_extract_all(t, '{TIME}'), lambda m: 'time:' || {_QUANTITY}),
+  list_transform(regexp_extract_all(t, '{DOSE}'), lambda m: 'dose:' || {_QUANTITY}), list_transform(regexp_extract_all(t, '{GENOTYPE}'), lambda m: 'perturbation:' || m)))) AS c FROM scientific) GROUP BY 1""",
     "canonical_groups": f"WITH {_LINES_SQL} SELECT source, lang, sha256(key) AS digest, count(*) AS n, min(id) AS least_id FROM f GROUP BY source, lang, key HAVING count(*) > 1",
     "representatives": f"WITH {_LINES_SQL} SELECT source, lang, sha256(key) AS digest, any_value(surviving) AS surviving, count(*) AS n FROM f WHERE n > 1 GROUP BY source, lang, key",
     "merge_decisions": f"WITH {_LINES_SQL} SELECT source, lang, sha256(key) AS digest, surviving, string_agg(DISTINCT id, ',' ORDER BY id) AS merged FROM f WHERE n > 1 AND id <> surviving GROUP BY source, lang, key, surviving",
