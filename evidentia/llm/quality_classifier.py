@@ -20,14 +20,11 @@ an aggregation; only counts of bins reach the driver.
 
 from __future__ import annotations
 
-import re
-from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,14 +34,17 @@ BUCKETS = 1 << 17
 LABELLED = 200_000
 #: Lengths in bytes of the beginnings of words that count beside whole words: they catch inflected forms.
 HEADS = (4, 5)
-#: Words that a Python worker remembers before it starts over.
-_WORDS = 400_000
-_BYTES = 1_000_000
+#: Bytes of a word's shape that count, runs of a kind being one.
+SHAPE = 12
+#: Bytes of texts that are cut into words together.
+_BYTES = 200_000
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+_INVERSE = np.uint64(pow(0xBF58476D1CE4E5B9, -1, 2**64))
+_SPACE, _MARKS = (np.isin(np.arange(256), list(b)) for b in (b"\x20\t\n\v\f\r", b".,;:!?"))
 #: Letters and digits by kind; other bytes stay.
-_KINDS = bytes(ord("X") if 65 <= c <= 90 else ord("x") if 97 <= c <= 122 or c >= 128 else ord("0") if 48 <= c <= 57 else c for c in range(256))
-_RUN = re.compile(rb"([Xx0])\1+")
+_KINDS = np.array([ord("X") if 65 <= c <= 90 else ord("x") if 97 <= c <= 122 or c >= 128 else ord("0") if 48 <= c <= 57 else c for c in range(256)], np.uint8)
+_RUNS = np.isin(np.arange(256), list(b"Xx0"))
 
 
 class Model(NamedTuple):
@@ -52,39 +52,30 @@ class Model(NamedTuple):
     words: np.ndarray | None
 
 
-class Vocabulary(dict):
-    """Numbers of words, and by number the hashes of the word in lower case and of its shape."""
+class Hashes:
+    """64-bit hashes of pieces of a byte array: polynomials over a random number for each byte, from running sums."""
 
     def __init__(self) -> None:
-        self.lower, self.shape, self.heads, self.shapes = array("Q"), array("Q"), array("Q"), {}
-
-    def __missing__(self, word: bytes) -> int:
-        kinds = word.translate(_KINDS)
-        shape = self.shapes.get(kinds)
-        if shape is None:
-            shape = self.shapes[kinds] = xxhash.xxh64_intdigest(_RUN.sub(rb"\1", kinds)[:12])
-        plain = word.strip(b".,;:!?").lower()
-        self.lower.append(xxhash.xxh64_intdigest(plain))
-        self.heads.extend([xxhash.xxh64_intdigest(plain[:n]) for n in HEADS])
-        self.shape.append(shape)
-        n = self[word] = len(self)
-        return n
-
-    def start(self) -> None:
-        if len(self) + len(self.shapes) > _WORDS:
-            self.clear()
-            self.shapes.clear()
-            self.lower, self.shape, self.heads = array("Q"), array("Q"), array("Q")
-
-
-_known: list[Vocabulary] = []
-
+        n = np.arange(256, dtype=np.uint64)
+        n = (n + np.uint64(1)) * _A
+        n = (n ^ (n >> np.uint64(29))) * _B
+        self.of_byte = (n ^ (n >> np.uint64(32))) * _A
+        self.power, self.inverse = (np.ones(1, np.uint64) for _ in range(2))
+
+    def sums(self, data: np.ndarray) -> np.ndarray:
+        if len(self.power) < len(data) + 1:
+            for name, base in (("power", _B), ("inverse", _INVERSE)):
+                each = np.full(len(data) + 1, base, np.uint64)
+                each[0] = 1
+                setattr(self, name, np.cumprod(each, dtype=np.uint64))
+        out = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self.of_byte[data] * self.power[: len(data)], dtype=np.uint64, out=out[1:])
+        return out
 
-def vocabulary() -> Vocabulary:
-    """The Python worker's table, which its tasks share; what it holds changes no result."""
-    if not _known:
-        _known.append(Vocabulary())
-    return _known[0]
+    def of(self, sums: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        h = (sums[end] - sums[begin]) * self.inverse[begin] + (end - begin).astype(np.uint64)
+        h = (h ^ (h >> np.uint64(32))) * _A
+        return h ^ (h >> np.uint64(29))
 
 
 def _bucket(h: np.ndarray) -> np.ndarray:
@@ -137,34 +128,54 @@ class Grams(NamedTuple):
         return np.bincount(self.of, each, len(self.size))
 
 
-def grams(texts: list[str | None], known: Vocabulary) -> Iterator[Grams]:
+def grams(texts: list[str | None], hashes: Hashes) -> Iterator[Grams]:
     """Words of consecutive documents, some at a time."""
-    known.start()
-    numbers, size, held = [], [], 0
+    parts, held = [], 0
     for i, t in enumerate(texts):
-        data = (t or "").encode("utf-8", "surrogatepass")
-        found = list(map(known.__getitem__, data.split()))
-        numbers += found
-        size.append(len(found))
-        held += len(data)
+        parts.append((t or "").encode("utf-8", "surrogatepass"))
+        held += len(parts[-1])
         if held > _BYTES or i + 1 == len(texts):
-            n, s = np.array(numbers, np.int64), np.array(size, np.int64)
-            lower, shape = (np.array(a, np.uint64)[n] for a in (known.lower, known.shape))
-            heads = np.array(known.heads, np.uint64).reshape(-1, len(HEADS))[n].T
-            yield Grams(s, np.repeat(np.arange(len(s)), s), lower, shape, heads)
-            numbers, size, held = [], [], 0
-            known.start()
+            yield _cut(parts, hashes)
+            parts, held = [], 0
+
+
+def _cut(parts: list[bytes], hashes: Hashes) -> Grams:
+    """Words of some documents, found in all their bytes at once."""
+    joined = b" ".join([b"", *parts, b""])  # a space before and after each document
+    data = np.frombuffer(joined, np.uint8)
+    edge = np.flatnonzero(np.diff(_SPACE[data].view(np.int8)))
+    begin, end = edge[::2] + 1, edge[1::2] + 1
+    last = np.cumsum([len(p) + 1 for p in parts])
+    of = np.searchsorted(last, begin - 1, side="right")
+    # without marks at the ends
+    a, z = begin.copy(), end.copy()
+    for x, step, at in ((a, 1, 0), (z, -1, -1)):
+        go = np.flatnonzero(_MARKS[data[x + at]] & (a < z))
+        while len(go):
+            x[go] += step
+            go = go[a[go] < z[go]]
+            go = go[_MARKS[data[x[go] + at]]]
+    plain = hashes.sums(np.frombuffer(joined.lower(), np.uint8))
+    heads = np.stack([hashes.of(plain, a, np.minimum(z, a + n)) for n in HEADS])
+    kinds = _KINDS[data]
+    new = np.ones(len(data), bool)
+    new[1:] = (kinds[1:] != kinds[:-1]) | ~_RUNS[kinds[1:]]
+    place = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(new, out=place[1:])
+    first = place[begin]
+    shape = hashes.of(hashes.sums(kinds[new]), first, np.minimum(place[end], first + SHAPE))
+    return Grams(np.bincount(of, minlength=len(parts)), of, hashes.of(plain, a, z), shape, heads)
 
 
 def _counts(docs: DataFrame, votes: DataFrame, first: np.ndarray | None, limit: float) -> DataFrame:
     """bucket, raw, target, target_votes, all_votes; of shapes, or with ``first`` of words in documents that it leaves."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, total = vocabulary(), np.zeros((4, BUCKETS))
+        hashes, total = Hashes(), np.zeros((4, BUCKETS))
         for b in batches:
             good, vote = b["good"].to_numpy(bool), b["vote"].to_numpy(float)
             at = 0
-            for g in grams(b["text"].tolist(), known):
+            for g in grams(b["text"].tolist(), hashes):
                 here = slice(at, at + len(g.size))
                 at += len(g.size)
                 found = g.shapes() if first is None else g.words()
@@ -219,9 +230,9 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, limit: flo
         known = known.filter(F.xxhash64("labelled_id") < F.lit(int(-(2**63) + share * 2**64)))
 
     def group(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = vocabulary()
+        hashes = Hashes()
         for b in batches:
-            keys = [g.groups() for g in grams(b["text"].tolist(), seen)]
+            keys = [g.groups() for g in grams(b["text"].tolist(), hashes)]
             yield pd.DataFrame({"labelled_id": b["labelled_id"], "good": b["good"], "group": np.concatenate(keys) if keys else []})
 
     small = F.broadcast(known)
@@ -246,9 +257,9 @@ def weight(text: Column, model: Model) -> Column:
 
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = vocabulary()
+        hashes = Hashes()
         for b in batches:
-            parts = [g.scores(model) for g in grams(b.tolist(), known)]
+            parts = [g.scores(model) for g in grams(b.tolist(), hashes)]
             yield pd.Series(np.concatenate(parts) if parts else np.empty(0))
 
     return run(text)

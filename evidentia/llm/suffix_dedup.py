@@ -47,6 +47,8 @@ SPLIT = 1500
 RUN = 512
 #: Bytes of texts that are hashed together.
 _CHUNK = 400_000
+#: Texts whose segments are cut out together.
+_ROWS = 500
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xFF51AFD7ED558CCD)
 _INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 2**64))
@@ -145,19 +147,23 @@ def suffix_array(data: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.nd
     """
     n = len(data)
     size = np.diff(np.append(start, n))
-    segment = np.repeat(np.arange(len(start)), size)
-    rest = np.repeat(start + size, size) - np.arange(n)
-    big = np.zeros(n, np.uint64)
+    place = np.arange(n, dtype=np.int32)
+    segment = np.repeat(np.arange(len(start), dtype=np.int32), size)
+    rest = np.repeat((start + size).astype(np.int32), size) - place
+    key = np.zeros(n, np.uint64)
     padded = np.concatenate([data, np.zeros(7, np.uint8)])
     for i in range(7):
-        big = big << np.uint64(8) | np.where(rest > i, padded[i : n + i], 0).astype(np.uint64)
-    key = big << np.uint64(3) | np.minimum(rest, 7).astype(np.uint64)
-    sa = np.argsort(key)
+        key <<= np.uint64(8)
+        key |= np.where(rest > i, padded[i : n + i], np.uint8(0))
+    key <<= np.uint64(3)
+    key |= np.minimum(rest, 7).astype(np.uint8)
+    sa = np.argsort(key).astype(np.int32)
+    key = key[sa]
     fresh = np.ones(n, bool)
-    fresh[1:] = key[sa[1:]] != key[sa[:-1]]
-    rank = np.empty(n, np.int64)
-    group = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
-    rank[sa] = group
+    fresh[1:] = key[1:] != key[:-1]
+    del key
+    rank = np.empty(n, np.int32)
+    rank[sa] = np.maximum.accumulate(np.where(fresh, place, 0))
     h = 7
     # places in sa of members of groups of several
     open_ = np.flatnonzero(~fresh | ~np.append(fresh[1:], True))
@@ -165,7 +171,7 @@ def suffix_array(data: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.nd
         at = sa[open_]
         own = rank[at]
         on = np.where(rest[at] > h, rank[np.minimum(at + h, n - 1)] + len(start), segment[at])
-        order = np.argsort(own * (n + len(start)) + on)  # one key for both
+        order = np.argsort(own.astype(np.int64) * (n + len(start)) + on)  # one key for both
         at, own, on = at[order], own[order], on[order]
         sa[open_] = at
         differs = np.ones(len(at), bool)
@@ -184,9 +190,9 @@ def common_prefixes(data: np.ndarray, start: np.ndarray, sa: np.ndarray, rank: n
     """
     n = len(data)
     size = np.diff(np.append(start, n))
-    end = np.repeat(start + size, size)
+    end = np.repeat((start + size).astype(np.int32), size)
     w = _words(data)
-    out = np.zeros(n, np.int64)
+    out = np.zeros(n, np.int32)
     lanes = np.argsort(-size, kind="stable")
     begin, left = start[lanes], size[lanes]
     h = np.zeros(len(lanes), np.int64)
@@ -222,7 +228,7 @@ def repeated_starts(parts: list[bytes], length: int = LENGTH) -> tuple[np.ndarra
     twice[:-1] |= twice[1:]
     out = np.zeros(len(data), bool)
     out[sa] = twice
-    full = np.repeat(start + size, size) - np.arange(len(data)) >= length
+    full = np.repeat((start + size - length).astype(np.int32), size) >= np.arange(len(data), dtype=np.int32)
     return data, start, out, full, sa
 
 
@@ -269,11 +275,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = []
-            for key, text, *asked in b.itertuples(index=False):
-                data = text.encode("utf-8", "surrogatepass")
-                rows += [(key, lo, label, shard, copied, heavy, data[lo : hi + length]) for lo, hi, label, shard, copied, heavy in zip(*asked, strict=True)]
-            yield pd.DataFrame(rows, columns=["key", "lo", "label", "shard", "copied", "heavy", "data"])
+            for first in range(0, len(b), _ROWS):
+                rows = []
+                for key, text, *asked in b[first : first + _ROWS].itertuples(index=False):
+                    data = text.encode("utf-8", "surrogatepass")
+                    rows += [(key, lo, label, shard, copied, heavy, data[lo : hi + length]) for lo, hi, label, shard, copied, heavy in zip(*asked, strict=True)]
+                yield pd.DataFrame(rows, columns=["key", "lo", "label", "shard", "copied", "heavy", "data"])
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = (r for b in batches for r in b.itertuples(index=False))
