@@ -5,10 +5,11 @@ chooses the bucket boundaries that minimise padding.  Inside a bucket, documents
 hashed order form batches of as many rows as the token budget allows at the bucket's
 padded length.
 
-Lengths are exact up to ``EXACT``; longer ones are rounded up to steps of 1/64 of their
-power of two.  So the histogram has some 2,000 cells for lengths up to 10^9 and is safe
-on the driver, whatever the corpus; the padded length always covers the real one.
-Positions in a bucket come from prefix sums in two levels, so no task holds a bucket.
+Lengths are exact up to ``EXACT``; longer ones share a cell with others of the same 1/64 of
+their power of two, and a cell stands at its greatest length.  So the histogram has at most
+``EXACT`` + 64 cells a power of two and is safe on the driver, whatever the corpus; up to
+``EXACT`` the boundaries are the best there are, and no bucket is longer than a document.
+The program takes time and memory in proportion to the cells.  Positions in a bucket come from prefix sums in two levels, so no task holds a bucket.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from evidentia.llm.common import read, stored, word_count
 
-EXACT = 1024
+EXACT = 1 << 16
 _STEPS = 64
 _ROWS_A_SHARD = 500
 
@@ -38,28 +39,53 @@ def cell(n: Column) -> Column:
     return F.when(n <= EXACT, n).otherwise((F.ceil(n / step) * step).cast("long"))
 
 
+def _hull_minima(lines: list[tuple[int, int]], at: list[int]) -> list[int]:
+    """Which of the lines (height, fall: y = height - fall * x; falls ascending) is least at each x (ascending), line i being there from x i on."""
+    hull: list[int] = []
+    out, first = [], 0
+
+    def useless(a: int, b: int, c: int) -> bool:  # b is nowhere below both a and c
+        (ha, fa), (hb, fb), (hc, fc) = lines[a], lines[b], lines[c]
+        return (hc - ha) * (fb - fa) <= (hb - ha) * (fc - fa)
+
+    y = lambda j, x: lines[j][0] - lines[j][1] * x
+    for i, x in enumerate(at):
+        while len(hull) - first >= 2 and useless(hull[-2], hull[-1], i):
+            hull.pop()
+        hull.append(i)
+        while first + 1 < len(hull) and y(hull[first + 1], x) <= y(hull[first], x):
+            first += 1
+        out.append(hull[first])
+    return out
+
+
 def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
-    """Padded lengths of at most ``buckets`` buckets over a histogram (ascending lengths) with the least padding."""
-    n = len(lengths)
+    """Padded lengths of at most ``buckets`` buckets over a histogram (ascending lengths) with the least padding.
+
+    A last bucket of cells j..i adds lengths[i] * (many[i + 1] - many[j]) to the best of the
+    cells before j: for given i the least of lines in lengths[i], found on their lower hull.
+    """
+    size = [int(x) for x in lengths]
+    many = [0]
+    for c in counts:
+        many.append(many[-1] + int(c))
+    n = len(size)
     if n == 0:
         return []
-    many = np.concatenate([[0], np.cumsum(counts, dtype=np.float64)])
-    best = lengths * many[1:]  # all up to cell i in one bucket: slots, padded
+    best = [size[i] * many[i + 1] for i in range(n)]  # all up to cell i in one bucket: slots, padded
     cuts = []
     for _ in range(min(buckets, n) - 1):
-        # a last bucket of cells j..i costs lengths[i] * (many[i + 1] - many[j])
-        cost = np.concatenate([[0.0], best[:-1]])[None, :] + lengths[:, None] * (many[1:, None] - many[None, :-1])
-        cost[np.triu_indices(n, 1)] = np.inf
-        cuts.append(cost.argmin(1))
-        best = cost[np.arange(n), cuts[-1]]
+        cut = _hull_minima(list(zip([0, *best[:-1]], many[:-1], strict=True)), size)
+        before = [0, *best]
+        best = [before[j] + size[i] * (many[i + 1] - many[j]) for i, j in enumerate(cut)]
+        cuts.append(cut)
     out, i = [], n - 1
     for cut in reversed(cuts):
-        out.append(int(lengths[i]))
-        i = int(cut[i]) - 1
+        out.append(size[i])
+        i = cut[i] - 1
         if i < 0:
             return out[::-1]
-    out.append(int(lengths[i]))
-    return out[::-1]
+    return [*out, size[i]][::-1]
 
 
 def pack(docs: DataFrame, buckets: int = 16, budget: int = 65_536, size: Column | None = None, seed: int = 1) -> Packed:
@@ -69,17 +95,18 @@ def pack(docs: DataFrame, buckets: int = 16, budget: int = 65_536, size: Column
     floor(``budget`` / padded length) rows, 1 at least: a document over the budget is a
     batch by itself.  Only the last batch of a bucket has fewer rows.  Null and empty
     texts have 0 tokens and no batch (bucket and later columns null).  Repeated rows each
-    take a place.
+    take a place; a shared id is no matter, and ties of the hashed order are broken by id.  An
+    empty table gives an empty one.  Of other columns only those named in ``size`` are read.
     """
     d = docs.select("doc_id", (word_count(F.col("text")) if size is None else F.coalesce(size.cast("long"), F.lit(0))).alias("n_tokens"))
     d = stored(d.withColumn("cell", F.when(F.col("n_tokens") > 0, cell(F.col("n_tokens")))), "lengths")
-    histogram = d.filter("cell is not null").groupBy("cell").agg(F.count("*").alias("n")).orderBy("cell").collect()
-    tops = boundaries(np.array([r[0] for r in histogram], np.float64), np.array([r[1] for r in histogram], np.float64), buckets)
+    histogram = d.filter("cell is not null").groupBy("cell").agg(F.max("n_tokens").alias("top"), F.count("*").alias("n")).select("top", "n").orderBy("top").collect()
+    tops = boundaries(np.array([r[0] for r in histogram], np.int64), np.array([r[1] for r in histogram], np.int64), buckets)
     if not tops:
         empty = {"bucket": "int", "padded_length": "long", "batch_id": "string", "place": "int"}
         return Packed(d.drop("cell").withColumns({c: F.lit(None).cast(t) for c, t in empty.items()}), [])
     top = F.lit(np.array(tops, np.int64))
-    bucket = F.aggregate(top, F.lit(0), lambda a, x: a + F.when(x < F.col("cell"), 1).otherwise(0))
+    bucket = F.aggregate(top, F.lit(0), lambda a, x: a + F.when(x < F.col("n_tokens"), 1).otherwise(0))
     counts = [0] * len(tops)
     for length, n in histogram:
         counts[int(np.searchsorted(tops, length))] += n

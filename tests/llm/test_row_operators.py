@@ -287,6 +287,28 @@ def test_boundaries_are_optimal():
         assert len(got) <= k and cost(got) == best
 
 
+def test_boundaries_of_many_lengths_are_optimal():
+    rng = np.random.default_rng(4)
+    lengths = np.sort(rng.choice(5000, 300, replace=False) + 1)
+    counts = rng.integers(1, 50, 300)
+    many = np.concatenate([[0], np.cumsum(counts)])
+    for k in (1, 2, 7, 16):
+        best = lengths * many[1:]
+        for _ in range(k - 1):
+            cost = np.concatenate([[0], best[:-1]])[None, :] + lengths[:, None] * (many[1:, None] - many[None, :-1])
+            cost[np.triu_indices(300, 1)] = 2**60
+            best = cost.min(1)
+        got = np.array(packing.boundaries(lengths, counts, k))
+        assert len(got) <= k and (got[np.searchsorted(got, lengths)] * counts).sum() == best[-1]
+    assert len(packing.boundaries(np.arange(1, 60_000), np.ones(59_999), 16)) == 16
+
+
+def test_buckets_are_as_long_as_a_document(spark):
+    d = spark.createDataFrame([(i, n) for i, n in enumerate([1, 1, 5, 700, 70_001, 70_003, 300_007, 300_009])], "doc_id long, n long")
+    p = packing.pack(d, buckets=4, budget=10, size=F.col("n"))
+    assert set(p.buckets) <= {1, 5, 700, 70_003, 300_009} and p.buckets[-1] == 300_009 and p.rows.filter("n_tokens > padded_length").count() == 0
+
+
 def test_batches(spark, odd, none):
     for d, budget in ((documents(spark), 4000), (odd, 500)):
         p = packing.pack(d, buckets=5, budget=budget).rows.toPandas()
