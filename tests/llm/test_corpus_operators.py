@@ -276,6 +276,77 @@ def test_classifier_on_held_out_labels(spark):
     assert d[good].kept.mean() > 0.97 and d[d.quality == 0].kept.mean() < 0.1 and d[(d.quality == 1) & (d.toxic == 1)].kept.mean() < 0.5
 
 
+def test_words_are_hashed_by_their_bytes():
+    """Equal words, beginnings and shapes have equal hashes, and others have others."""
+    import re
+
+    texts = [r.text for r in documents_of(SF)] + [None, "", " \n", "...", "A b. !c! ..x.. é日本 AAaa11--11", "x" * 300_000]
+    hashes, of_word, of_shape, at = quality_classifier.Hashes(), {}, {}, 0
+    for g in quality_classifier.grams(texts, hashes):
+        words = [w for t in texts[at : at + len(g.size)] for w in (t or "").encode().split()]
+        assert g.size.tolist() == [len((t or "").encode().split()) for t in texts[at : at + len(g.size)]]
+        for w, lower, shape, *heads in zip(words, g.lower.tolist(), g.shape.tolist(), *g.heads.tolist(), strict=True):
+            plain = w.strip(b".,;:!?").lower()
+            kinds = re.sub(rb"([Xx0])\1+", rb"\1", bytes(quality_classifier._KINDS[list(w)]))[:12]
+            for table_, key, h in ((of_word, plain, lower), (of_shape, kinds, shape), *((of_word, plain[:n], h) for n, h in zip(quality_classifier.HEADS, heads, strict=True))):
+                assert table_.setdefault(key, h) == h
+        at += len(g.size)
+    assert all(len(set(t.values())) == len(t) for t in (of_word, of_shape))
+
+
+def documents_of(sf):
+    import pyarrow.parquet as pq
+
+    return [type("Row", (), r) for r in pq.read_table(f"{sf}/documents.parquet").to_pylist()]
+
+
+def test_weights_against_plain_python(spark):
+    """Models, weights and the sample of sf0.01, recomputed document by document."""
+    import math
+
+    sf = "/root/testdata/sf0.01"
+    q = quality_classifier
+    docs = documents_of(sf)
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    good = {}
+    for r in labels.collect():
+        good[r.doc_id] = good.get(r.doc_id, True) and r.quality == 1 and r.toxic == 0
+    cut = {d.doc_id: q._cut([(d.text or "").encode()], q.Hashes()) for d in docs}
+    good = {k: v for k, v in good.items() if k in cut}
+    group = {k: int(cut[k].groups()[0]) for k in good}
+    share = Counter((group[k], good[k]) for k in good)
+    vote = {k: 1 / share[group[k], good[k]] for k in good}
+
+    def model(buckets, surprise, support, most):
+        raw, target, tv, av = (Counter() for _ in range(4))
+        for k, found_ in buckets.items():
+            for b in set(found_):
+                raw[b] += 1
+                if k in good:
+                    av[b] += vote[k]
+                    target[b] += good[k]
+                    tv[b] += vote[k] * good[k]
+        votes, ok = sum(vote.values()), sum(v for k, v in vote.items() if good[k])
+        p, per = ok / votes, sum(good.values()) / len(docs)
+        out = {}
+        for b, n in av.items():
+            part = lambda x, e: x * math.log(x / e) if x > 0 else 0.0
+            gain = part(tv[b], p * n) + part(n - tv[b], (1 - p) * n)
+            if gain > surprise and n >= max(6, support * votes) and math.log((tv[b] + 0.5) / (p * n + 0.5)) < most:
+                out[b] = min(0.0, math.log((target[b] + 0.5) / (raw[b] * per + 0.5)))
+        return out
+
+    shapes = model({k: g.shapes().ravel().tolist() for k, g in cut.items()}, 10, 0.001, -0.7)
+    first = {k: sum(shapes.get(b, 0.0) for b in g.shapes().ravel().tolist()) for k, g in cut.items()}
+    words = model({k: g.words().ravel().tolist() for k, g in cut.items() if first[k] > -2}, 12, 0.004, -2.0)
+    want = {k: first[k] + sum(min(words.get(b, 0.0) for b in column) for column in g.words().T.tolist()) for k, g in cut.items()}
+    rows = q.resample(spark.read.parquet(f"{sf}/documents.parquet"), labels).collect()
+    assert shapes and all(r.weight == pytest.approx(want[r.doc_id], abs=1e-6) for r in rows)
+    k = sum(w > -5 for w in want.values())
+    last = sorted((r.key for r in rows), reverse=True)[k - 1]
+    assert 0 < k < len(rows) and all(r.kept == (r.key >= last) for r in rows)
+
+
 def test_kth_largest(spark):
     rng = np.random.default_rng(2)
     for values in (rng.normal(size=5000), rng.integers(0, 3, 400).astype(float), np.array([1.0])):

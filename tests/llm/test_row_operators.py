@@ -47,6 +47,18 @@ def test_mix_meets_its_targets(spark):
     assert rows.sort_values("doc_id").reset_index(drop=True).equals(again.sort_values("doc_id").reset_index(drop=True))
 
 
+def test_mix_takes_words_in_order(spark):
+    """What is taken of each document: whole passes over its source, and of the last pass the first words in hashed order."""
+    docs = documents(spark)
+    d = mixing.op1_mixing(spark, SF).toPandas()
+    key = docs.select("doc_id", F.xxhash64(F.lit(1), "doc_id").bitwiseAND(F.lit(2**63 - 1)).alias("key")).toPandas().set_index("doc_id").key
+    for _, g in d.groupby("source", dropna=False):
+        total, take, at = int(g["size"].sum()), int(np.floor(g.target.iloc[0] + 0.5)), 0
+        for r in g.assign(key=g.doc_id.map(key)).sort_values("key").itertuples():
+            assert r.taken == take // total * r.size + max(0, min(take % total, at + r.size) - at)
+            at += r.size
+
+
 def test_mix_is_spread_evenly(spark):
     m = mixing.mix(documents(spark), slots=3000, least_block=8)
     s = m.schedule.orderBy("slot").toPandas()
@@ -259,6 +271,40 @@ def test_quality_of_tables(spark, odd, none):
     assert len(odd_rows) == odd.count() and all(r.kept is not None for r in odd_rows) and not any(r.kept for r in odd_rows if r.doc_id in (4, 5, 6, 7, 8, 9))
 
 
+def test_verdicts_against_plain_python(spark):
+    """All verdicts of sf0.001: references summed in three rounds, distances and limits recomputed."""
+    import math
+
+    def distance(a, b):
+        a, b = ([x / max(1, sum(v)) for x in v] for v in (a, b))
+        kl = lambda p, q: sum(x * math.log2(2 * x / (x + y)) for x, y in zip(p, q, strict=True) if x)
+        return math.sqrt(min(1, max(0, (kl(a, b) + kl(b, a)) / 2)))
+
+    got = {r.doc_id: r for r in quality_rules.op5_quality_rules(spark, SF).collect()}
+    docs = {r.doc_id: (r.lang, quality_rules.features(r.text)) for r in documents(spark).collect()}
+    passed = {k for k, (_, f) in docs.items() if f[0] >= 10 and 100 * f[4] <= 20 * f[0]}
+    kept = passed
+    for _ in range(3):
+        ref = {}
+        for k in kept:
+            lang, f = docs[k]
+            ref[lang] = [a + b for a, b in zip(ref.get(lang, [0] * len(f[5])), f[5], strict=True)]
+        now, far = set(), {}
+        for k in passed:
+            lang, f = docs[k]
+            fine, far[k] = True, []
+            for part, (limit, noise), least in ((slice(0, 8), (0.05, 4.5), 200), (slice(8, None), (0.05, 3.3), 50)):
+                n = sum(f[5][part])
+                if lang in ref and n >= least:
+                    far[k].append(distance(f[5][part], ref[lang][part]))
+                    fine &= far[k][-1] <= limit + noise / math.sqrt(n)
+            if fine:
+                now.add(k)
+        kept = now
+    assert {k for k, r in got.items() if r.kept} == kept and 0 < len(kept) < len(docs)
+    assert all([x for x in (got[k].class_distance, got[k].word_distance) if x is not None] == pytest.approx(v) for k, v in far.items())
+
+
 def test_rules_agree_with_labels(spark):
     d = quality_rules.op5_quality_rules(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").filter("not base_failed").toPandas()
     assert d[d.quality == 1].kept.mean() > 0.97 and d[d.quality == 0].kept.mean() < 0.4
