@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from evidentia.catalog.planning import PAGES_SQL, PROSE, papers, plan_sql, table
@@ -14,6 +15,8 @@ from evidentia.operators import planning as P
 from evidentia.operators import quality as Q
 from evidentia.operators import validation as V
 from evidentia.operators.chunks import chunk_rows
+from evidentia.operators.merging import canonicalize
+from evidentia.schemas import CLAIM, DATASET, MERGE, METHOD, PROVENANCE, RESULT, SPAN
 
 
 def _provenance(spark, sf_dir):
@@ -215,8 +218,51 @@ def atomic_items(spark, sf_dir):
     return items(order_packets(spark, sf_dir)).groupBy("kind").agg(F.count("*").alias("n"))
 
 
+def restated_packets(spark, sf_dir):
+    """Customers as papers, orders as units named by their priority, lines as results and claims that differ in spelling and provenance alone."""
+    of_order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_tax")
+    li = table(spark, sf_dir, "lineitem").withColumn("n", F.row_number().over(of_order))
+    retold = F.col("l_tax") > 0.04
+    prov = F.struct(F.concat(F.lit("c"), F.col("l_suppkey").cast("string")).alias("chunk_id"), F.lit(1).alias("page_start"), F.lit(1).alias("page_end"), F.lit("x").alias("text_excerpt"), retold.alias("paraphrased"))
+    none = F.array().cast(f"array<{PROVENANCE}>")
+    raw = F.concat("l_linestatus", F.when(F.col("l_quantity") > 25, " many").otherwise(" few"))
+    raw = F.when(F.dayofmonth("l_shipdate") % 2 == 0, F.upper(raw)).otherwise(F.lower(raw))
+    number = F.lpad(F.col("n").cast("string"), 3, "0")
+    result = F.struct(
+        number.alias("result_id"), F.col("l_returnflag").alias("metric_name"), raw.alias("value_raw_text"), F.lit(None).cast("double").alias("quantitative_value"),
+        F.when(F.col("l_discount") > 0.05, "pieces").alias("unit"), F.lit(None).cast("double").alias("p_value"), F.lit(None).cast("int").alias("n_sample_size"), prov.alias("provenance"), none.alias("additional_provenance"),
+    )
+    polarity = F.when(F.col("l_returnflag") == "R", "negative").otherwise("positive")
+    claim = F.struct(F.concat(F.lit("c"), number).alias("claim_id"), F.lit("Shipped.").alias("statement"), polarity.alias("polarity"), F.array(number).alias("inference_basis_ids"), prov.alias("provenance"), none.alias("additional_provenance"))
+    lines = li.groupBy("l_orderkey").agg(F.collect_list(result).alias("results"), F.collect_list(F.when(F.col("l_linestatus") == "F", claim)).alias("claims"))
+    o = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    empty = lambda t: F.array().cast(f"array<{t}>")
+    lists = [F.coalesce(c, empty(t)).alias(c) for c, t in (("results", RESULT), ("claims", CLAIM))]
+    unit = F.struct(
+        F.col("o_orderkey").cast("string").alias("unit_id"), F.col("o_orderpriority").alias("name"), F.array("o_orderpriority").alias("experiments_or_tasks"), empty(DATASET).alias("datasets"), empty(METHOD).alias("methods"), *lists,
+        empty(SPAN).alias("evidence_spans"),
+    )
+    q = o.groupBy(F.col("o_custkey").cast("string").alias("paper_id")).agg(F.collect_list(unit).alias("us"))
+    question = F.struct(F.lit("q").alias("question_id"), F.lit("What?").alias("statement"), F.col("us").alias("study_units"))
+    return q.select("paper_id", F.array(question).alias("research_questions"), empty(MERGE).alias("merge_decisions"))
+
+
+def canonical_packets(spark, sf_dir):
+    """Results, claims and merges of restated packets after canonicalisation: who stands for a group, and all it rests on."""
+    d = canonicalize(restated_packets(spark, sf_dir))
+    u = d.select("paper_id", F.explode(F.flatten(F.transform("research_questions", lambda q: q["study_units"]))).alias("u"))
+    told = lambda e: F.array_join(F.transform(F.concat(F.array(e["provenance"]), e["additional_provenance"]), lambda p: F.concat(p["chunk_id"], F.when(p["paraphrased"], "~").otherwise(""))), ",")
+    parts = [
+        u.select("paper_id", F.lit(kind).alias("kind"), F.col("u.name").alias("unit_name"), F.explode(f"u.{kind}s").alias("e")).select("paper_id", "kind", "unit_name", F.col(a).alias("a"), F.col(b).alias("b"), told(F.col("e")).alias("c"))
+        for kind, a, b in (("result", "e.metric_name", "e.value_raw_text"), ("claim", "e.polarity", "e.statement"))
+    ]
+    m = d.select("paper_id", F.explode("merge_decisions").alias("m")).groupBy("paper_id", F.substring_index("m.surviving_id", "_", 1).alias("a")).agg(F.count("*").cast("string").alias("b"))
+    parts.append(m.select("paper_id", F.lit("merge").alias("kind"), F.lit("").alias("unit_name"), "a", "b", F.lit("").alias("c")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 QUERIES = {
-    "provenance_containment": provenance_containment, "provenance_overlap": provenance_overlap, "excerpt_verified": excerpt_verified, "semantic_prf": semantic_prf, "evidence_strength": evidence_strength,
+    "canonical_packets": canonical_packets, "provenance_containment": provenance_containment, "provenance_overlap": provenance_overlap, "excerpt_verified": excerpt_verified, "semantic_prf": semantic_prf, "evidence_strength": evidence_strength,
     "rule_quality_boundaries": rule_quality_boundaries, "rule_quality_structure": lambda s, d: _component(s, d, 0), "rule_quality_provenance": lambda s, d: _component(s, d, 1), "rule_quality_score": rule_quality_score,
     "protected_conditions": protected_conditions, "canonical_groups": canonical_groups, "representatives": representatives, "merge_decisions": merge_decisions, "complete_link": complete_link, "similarity_ratio": similarity_ratio,
     "broken_basis_refs": broken_basis_refs, "coverage_gaps": coverage_gaps, "duplicate_ids": duplicate_ids, "atomic_items": atomic_items,
@@ -231,6 +277,19 @@ _QUANTITY = rf"CASE WHEN contains({_NUMBER}, '.') THEN regexp_replace({_NUMBER},
 _COND = "scientific AS (SELECT doc_id, ' ' || trim(regexp_replace(regexp_replace(replace(lower(text), 'ß', 'ss'), '[^\\p{L}\\p{N}_.%<>=!+\\-/]+', ' ', 'g'), '\\s+', ' ', 'g')) || ' ' AS t FROM documents)"
 
 ORACLE_SQL = {
+    "canonical_packets": """
+WITH l AS (SELECT o_custkey AS paper, o_orderkey AS u, o_orderpriority AS pr, CASE WHEN l_orderkey IS NOT NULL THEN row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_tax) END AS n, l_returnflag AS metric, l_linestatus AS st, l_discount > 0.05 AS pieces, l_tax > 0.04 AS retold, 'c' || l_suppkey AS chunk,
+    l_linestatus || CASE WHEN l_quantity > 25 THEN ' many' ELSE ' few' END AS raw, dayofmonth(l_shipdate) % 2 = 0 AS up, CASE WHEN l_returnflag = 'R' THEN 'negative' ELSE 'positive' END AS pol FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey),
+units AS (SELECT paper, u, any_value(pr) AS pr, coalesce(string_agg(DISTINCT metric, ',' ORDER BY metric), '') AS ms FROM l GROUP BY 1, 2),
+r AS (SELECT l.*, ms, lower(raw) AS norm, CASE WHEN up THEN upper(raw) ELSE lower(raw) END AS shown FROM l JOIN units USING (paper, u) WHERE n IS NOT NULL),
+prov AS (SELECT paper, pr, ms, metric, norm, pieces, string_agg(chunk || CASE WHEN retold THEN '~' ELSE '' END, ',' ORDER BY retold, chunk) AS c FROM (SELECT DISTINCT paper, pr, ms, metric, norm, pieces, chunk, retold FROM r) GROUP BY ALL),
+results AS (SELECT paper, pr, ms, metric, norm, pieces, first(shown ORDER BY retold, shown, n) AS b, count(*) AS size FROM r GROUP BY ALL),
+cprov AS (SELECT paper, pr, ms, metric, norm, pieces, pol, string_agg(chunk || CASE WHEN retold THEN '~' ELSE '' END, ',' ORDER BY retold, chunk) AS c FROM (SELECT DISTINCT paper, pr, ms, metric, norm, pieces, pol, chunk, retold FROM r WHERE st = 'F') GROUP BY ALL),
+claims AS (SELECT paper, pr, ms, metric, norm, pieces, pol, count(*) AS size FROM r WHERE st = 'F' GROUP BY ALL),
+merges AS (SELECT paper, 'su' AS a FROM units GROUP BY paper, pr, ms HAVING count(*) > 1 UNION ALL SELECT paper, 'res' FROM results WHERE size > 1 UNION ALL SELECT paper, 'clm' FROM claims WHERE size > 1)
+SELECT CAST(paper AS VARCHAR) AS paper_id, 'result' AS kind, pr AS unit_name, metric AS a, b, c FROM results JOIN prov USING (paper, pr, ms, metric, norm, pieces)
+UNION ALL SELECT CAST(paper AS VARCHAR), 'claim', pr, pol, 'Shipped.', c FROM claims JOIN cprov USING (paper, pr, ms, metric, norm, pieces, pol)
+UNION ALL SELECT CAST(paper AS VARCHAR), 'merge', '', a, CAST(count(*) AS VARCHAR), '' FROM merges GROUP BY paper, a""",
     "provenance_containment": f"WITH {_MADE} SELECT problem, count(*) AS n, count(*) FILTER (meets) AS n_overlapping FROM met GROUP BY 1",
     "provenance_overlap": f"WITH {_MADE} SELECT paper_id, chunk_id, CAST(page_start AS INTEGER) AS page_start, CAST(page_end AS INTEGER) AS page_end FROM met WHERE meets AND problem <> 'ok'",
     "excerpt_verified": f"SELECT b.item_id, count(d.doc_id) AS n_documents FROM benchmark b LEFT JOIN documents d ON contains({_COLLAPSED.format('d.text')}, {_COLLAPSED.format('b.text')}) GROUP BY 1",
