@@ -52,13 +52,25 @@ def stored(df: DataFrame, name: str, compact: bool = False) -> DataFrame:
     for each core of the cluster, rather than to a file for each partition of theirs.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/evidentia-{uuid.uuid4().hex}/{name}"
+    folder = f"{shared_folder(spark)}/evidentia-{uuid.uuid4().hex}"
+    _written.append(folder)
+    path = f"{folder}/{name}"
     if compact:
         df = df.repartition(2 * spark.sparkContext.defaultParallelism)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_written: list[str] = []
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes what ``stored`` wrote in this process; for callers, once they have written their results."""
+    while _written:
+        p = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``rows`` rows, else left to a shuffled join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

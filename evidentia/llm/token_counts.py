@@ -6,10 +6,14 @@ pre-tokens (spaces with the word after them, spaces before a line feed, line fee
 piece counts add up to the text's.  ``independent`` checks this of a vocabulary; for one
 that fails, whole texts go to the library.
 
-A task joins its documents' pre-token frequencies to a table of counts that it fills as
-new pre-tokens come, each encoded once.  The table is emptied at ``TABLE`` entries, which
-bounds memory and changes no result.  Nothing is shuffled: a shuffled join would move a
-row for every distinct pre-token of every document.
+1. Frequencies.  A task numbers the pre-tokens it meets and keeps of each document the
+   numbers and how often each stands there, as bytes.  After ``DOCUMENTS`` documents or
+   ``TABLE`` pre-tokens it begins a new shard with numbers of its own.
+2. Counts.  The distinct pre-tokens of all shards are counted, each once in the whole corpus.
+3. Join.  Counts go back to the shards that have the pre-token, and meet the documents there.
+
+What is shuffled is a row for each pre-token of a shard and a few bytes for each pre-token
+of a document, not a row; a shard bounds what a task holds.
 """
 
 from __future__ import annotations
@@ -18,14 +22,18 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evidentia.llm.common import read
+from evidentia.llm.common import read, stored
 
-#: Entries of a task's table of pre-tokens.
+#: Pre-tokens of a shard, and entries of ``Counts``' own table.
 TABLE = 400_000
+#: Documents of a shard.
+DOCUMENTS = 20_000
 #: Longer pre-tokens are counted without entering the table.
 LONG = 64
 
@@ -55,11 +63,15 @@ class Counts:
         less = [0 if t[0] == " " else self.line for t in tokens]
         return [len(ids) - n if s else 1 for ids, n, s in zip(self.model.encode(spaced, num_threads=1), less, spaced, strict=True)]
 
+    def each(self, tokens: list[str]) -> list[int]:
+        """Pieces of distinct pre-tokens."""
+        return self._new(tokens) if tokens else []
+
     def of(self, texts: list[str]) -> list[int]:
+        """Pieces of texts one after the other, by a table of this object."""
         if not self.apart:
             return [len(x) for x in self.model.encode(texts, num_threads=1)] if texts else []
-        freqs = [Counter(_PRETOKEN.findall(f" {t.replace(_MARK, ' ')}")) if t else Counter() for t in texts]
-        for f in freqs:
+        for f in map(pretokens, texts):
             new = [t for t in f if t not in self.table]
             if new and len(self.table) + len(new) > TABLE:
                 self.table.clear()
@@ -72,27 +84,77 @@ class Counts:
                     del self.table[t]
 
 
+def pretokens(text: str) -> Counter:
+    """Frequencies of a text's pre-tokens."""
+    return Counter(_PRETOKEN.findall(f" {text.replace(_MARK, ' ')}")) if text else Counter()
+
+
 def count_tokens(docs: DataFrame, model_file: str, limit: int = 4096) -> DataFrame:
-    """doc_id, n_bytes, n_tokens, over_limit of ``docs`` (doc_id, text).
+    """doc_id, n_bytes, n_tokens, over_limit of ``docs`` (doc_id, text, ...).
 
     ``n_tokens`` is what the library's ``encode`` gives without begin and end tokens.
     Null and empty texts have 0 bytes and 0 tokens.  Rows are independent: repeated
-    rows each count, an empty table gives an empty one.  ``model_file`` must be at the
-    same place on all executors.
+    rows each count, ids may be null or shared, an empty table gives an empty one; texts of
+    any length are read whole, and other columns are ignored, whatever their names.
+    ``model_file`` must be at the same place on all executors.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def load():
         import sentencepiece
 
-        counts = Counts(sentencepiece.SentencePieceProcessor(model_file=model_file))
+        return sentencepiece.SentencePieceProcessor(model_file=model_file)
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = load()
         for b in batches:
-            b["n_tokens"] = list(counts.of(b["text"].tolist()))
-            b["n_bytes"] = [len(t.encode()) for t in b["text"]]
-            b["over_limit"] = b["n_tokens"] > limit
-            yield b[["doc_id", "n_bytes", "n_tokens", "over_limit"]]
+            yield pd.DataFrame({"doc_id": b["doc_id"], "n_bytes": [len(t.encode()) for t in b["text"]], "n_tokens": [len(x) for x in model.encode(b["text"].tolist(), num_threads=1)]})
 
-    d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return d.mapInPandas(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_bytes long, n_tokens long, over_limit boolean")
+    def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shard, n, numbers = TaskContext.get().partitionId() << 32, 0, {}
+        table = lambda: pd.DataFrame([(shard, None, None, None, None, i, t) for t, i in numbers.items()], columns=_FREQUENCIES, dtype=object)
+        for b in batches:
+            rows = []
+            for doc_id, text in b.itertuples(index=False):
+                f = pretokens(text)
+                if n and (n >= DOCUMENTS or len(numbers) + len(f) > TABLE):
+                    yield pd.DataFrame(rows, columns=_FREQUENCIES)
+                    yield table()
+                    shard, n, numbers, rows = shard + 1, 0, {}, []
+                places = np.fromiter((numbers.setdefault(t, len(numbers)) for t in f), np.uint32, len(f))
+                times = np.fromiter(f.values(), np.uint32, len(f))
+                rows.append((shard, doc_id, len(text.encode()), places.tobytes(), times.tobytes(), None, None))
+                n += 1
+            yield pd.DataFrame(rows, columns=_FREQUENCIES)
+        yield table()
+
+    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = Counts(load())
+        for b in batches:
+            yield b.assign(pieces=counts.each(b["token"].tolist()))
+
+    def summed(own: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
+        worth = np.zeros(len(counts), np.int64)
+        worth[counts["place"].to_numpy()] = counts["pieces"].to_numpy()
+        total = [int(worth[np.frombuffer(p, np.uint32)] @ np.frombuffer(t, np.uint32).astype(np.int64)) for p, t in zip(own["places"], own["times"], strict=True)]
+        return pd.DataFrame({"doc_id": own["doc_id"], "n_bytes": own["n_bytes"], "n_tokens": total})
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    # ids go through Python as text, so that nulls among them make no floats
+    d = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    result = "doc_id string, n_bytes long, n_tokens long"
+    if independent(load()):
+        f = stored(d.mapInPandas(frequencies, "shard long, doc_id string, n_bytes long, places binary, times binary, place int, token string"), "frequencies")
+        tokens = f.filter("token is not null").select("shard", "place", "token")
+        worth = tokens.select("token").distinct().mapInPandas(pieces, "token string, pieces int")
+        counts = tokens.join(worth, "token").select(F.col("shard").alias("of_shard"), "place", "pieces")
+        own = f.filter("token is null").select("shard", "doc_id", "n_bytes", "places", "times")
+        counted = own.groupBy("shard").cogroup(counts.groupBy("of_shard")).applyInPandas(summed, result)
+    else:  # pre-tokens of this vocabulary don't add up: whole texts go to the library
+        counted = d.mapInPandas(whole, result)
+    return counted.select(F.col("doc_id").cast(kind).alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+
+
+_FREQUENCIES = ["shard", "doc_id", "n_bytes", "places", "times", "place", "token"]
 
 
 def op4_token_counts(spark, sf_dir: str) -> DataFrame:
