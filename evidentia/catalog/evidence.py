@@ -17,6 +17,7 @@ from evidentia.operators import validation as V
 from evidentia.operators.chunks import chunk_rows
 from evidentia.operators.merging import canonicalize
 from evidentia.schemas import CLAIM, DATASET, MERGE, METHOD, PROVENANCE, RESULT, SPAN
+from evidentia.sources.shared import stored
 
 
 def _provenance(spark, sf_dir):
@@ -249,7 +250,7 @@ def restated_packets(spark, sf_dir):
 
 def canonical_packets(spark, sf_dir):
     """Results, claims and merges of restated packets after canonicalisation: who stands for a group, and all it rests on."""
-    d = canonicalize(restated_packets(spark, sf_dir))
+    d = stored(canonicalize(restated_packets(spark, sf_dir)), "canonical")
     u = d.select("paper_id", F.explode(F.flatten(F.transform("research_questions", lambda q: q["study_units"]))).alias("u"))
     told = lambda e: F.array_join(F.transform(F.concat(F.array(e["provenance"]), e["additional_provenance"]), lambda p: F.concat(p["chunk_id"], F.when(p["paraphrased"], "~").otherwise(""))), ",")
     parts = [

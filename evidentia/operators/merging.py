@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from evidentia.functions.text import collapse, fold, scientific
 from evidentia.operators import canonical as K
 from evidentia.schemas import MERGE
+from evidentia.sources.shared import stored
 
 _UNIT = ["paper_id", "question_at", "unit_digest"]
 #: What a causal argument's last rung is called, and what to note where it is missing.
@@ -58,11 +59,12 @@ def canonicalize(packets: DataFrame) -> DataFrame:
 
     Results come before claims, whose keys and bases are canonical results.  Tasks, data
     sets, methods, spans and provenance are united.  Merges of several are added to
-    ``merge_decisions``.  Doing it twice changes nothing more.
+    ``merge_decisions``.  Doing it twice changes nothing more.  Keyed rows are stored in the
+    shared folder, as several steps read them.
     """
-    u = K.unit_keys(packets)
-    r = K.result_keys(u)
-    c = K.claim_keys(u, r)
+    u = stored(K.unit_keys(packets), "units")
+    r = stored(K.result_keys(u), "results")
+    c = stored(K.claim_keys(u, r), "claims")
     one = lambda f: F.max(F.col(f"e.{f}"))  # noqa: E731  equal in all members, being in the key
     results = _merged(r, "result_id", "result", K.result_standing(), p_value=one("p_value"), n_sample_size=one("n_sample_size"))
     claims = _merged(c, "claim_id", "claim", K.claim_standing(), inference_basis_ids=F.array_sort(F.array_distinct(F.flatten(F.collect_list("basis")))))
