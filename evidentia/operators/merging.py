@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidentia.functions.text import collapse, fold, scientific
+from evidentia.functions.text import canonical_json, collapse, fold, scientific
 from evidentia.operators import canonical as K
 from evidentia.schemas import MERGE
 from evidentia.sources.shared import stored
@@ -50,10 +50,17 @@ def _merged(rows: DataFrame, name: str, kind: str, order: Column, **more: Column
 
 def _decisions(merged: DataFrame) -> DataFrame:
     lost = F.filter("ids", lambda i: i != F.col("canonical_id"))
-    d = merged.filter(F.col("n") > 1).select("paper_id", F.struct(F.col("canonical_id").alias("surviving_id"), lost.alias("merged_ids"), "reason").alias("m"))
+    d = merged.filter(F.col("n") > 1).select("paper_id", F.struct(F.col("canonical_id").alias("surviving_id"), lost.alias("merged_ids"), canonical_json(F.col("reason")).alias("reason")).alias("m"))
     return d.filter(F.size("m.merged_ids") > 0)
 
 
+def _earlier(packets: DataFrame) -> DataFrame:
+    """Decisions that packets come with, their ids in order and reasons that are JSON in its canonical form, so that equal ones are one."""
+    d = packets.select("paper_id", F.explode("merge_decisions").alias("m"))
+    reason = F.coalesce(canonical_json(F.when(F.try_parse_json("m.reason").isNotNull(), F.col("m.reason"))), F.col("m.reason"))
+    return d.select("paper_id", F.struct(F.col("m.surviving_id").alias("surviving_id"), F.array_sort("m.merged_ids").alias("merged_ids"), reason.alias("reason")).alias("m"))
+
+
 def canonicalize(packets: DataFrame) -> DataFrame:
     """``packets`` with canonical ids: units of equal key become one, then their results, then their claims.
 
@@ -84,11 +91,11 @@ def canonicalize(packets: DataFrame) -> DataFrame:
     unit = unit.withField("results", F.coalesce("rs", F.array())).withField("claims", F.coalesce("cs", F.array()))
     nested = full.groupBy("paper_id", "question_at").agg(F.transform(F.array_sort(F.collect_list(F.struct("first", F.col("canonical_id").alias("i"), unit.alias("u")))), lambda x: x["u"]).alias("us"))
     nested = nested.groupBy("paper_id").agg(F.map_from_entries(F.collect_list(F.struct("question_at", "us"))).alias("by_question"))
-    merges = _decisions(units).unionByName(_decisions(results)).unionByName(_decisions(claims))
+    merges = _decisions(units).unionByName(_decisions(results)).unionByName(_decisions(claims)).unionByName(_earlier(packets))
     merges = merges.groupBy("paper_id").agg(F.array_sort(F.collect_set("m")).cast(f"array<{MERGE}>").alias("new"))
     d = packets.join(nested, "paper_id", "left").join(merges, "paper_id", "left")
     questions = F.transform("research_questions", lambda q, i: q.withField("study_units", F.coalesce(F.try_element_at("by_question", i), q["study_units"])))
-    merged = F.array_sort(F.array_union(F.coalesce("merge_decisions", F.array().cast(f"array<{MERGE}>")), F.coalesce("new", F.array().cast(f"array<{MERGE}>"))))
+    merged = F.coalesce("new", F.array().cast(f"array<{MERGE}>"))
     return d.withColumns({"research_questions": questions, "merge_decisions": merged}).select(*packets.columns)
 
 

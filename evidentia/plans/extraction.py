@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evidentia.functions.text import collapse
+from evidentia.operators import canonical_plan as C
 from evidentia.operators import merging
 from evidentia.operators import quality as Q
 from evidentia.operators import repair as R
@@ -305,14 +306,18 @@ def one_paper(provider: Provider, paper_id: str, chunks: list[dict], selected: l
     return judged_paper(provider, out, chunks, None, o) if out["status"] == "extracted" else out
 
 
-def canonical(first: DataFrame, planned: DataFrame) -> DataFrame:
-    """(paper_id, packet, score): packets of ``extracted`` records, boundaries noted, equal entities merged, scored by rules."""
+def canonical(first: DataFrame, planned: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(paper_id, packet, score) of ``extracted`` records, boundaries noted, equal entities merged, scored by rules; and (paper_id, rule) of those that can't be or came out wrong."""
     p = first.filter("status = 'extracted'").select(F.from_json("packet", PACKET).alias("p")).select("p.*")
     chosen = F.filter("chunks", lambda c: F.array_contains(F.col("selected"), c["ordinal"]))
     about = planned.select(F.col("paper_id").cast("string").alias("__of"), F.col("classification.mode").alias("__mode"), collapse(F.array_join(F.transform(chosen, lambda c: c["text"]), " ")).alias("__text"))
     noted = p.join(about, F.col("paper_id") == F.col("__of")).withColumn("limitations_and_boundaries", merging.note_missing_rescue(F.col("limitations_and_boundaries"), F.col("__mode"), F.col("__text")))
-    merged = stored(merging.canonicalize(noted.select(*p.columns)), "canonical")
-    return merged.select("paper_id", F.to_json(F.struct(*merged.columns)).alias("packet")).join(Q.rule_quality(merged).select("paper_id", "score"), "paper_id")
+    noted = stored(noted.select(*p.columns), "noted")
+    wrong = stored(C.input_violations(noted).select("paper_id", "rule"), "unfit")
+    merged = stored(merging.canonicalize(noted.join(wrong, "paper_id", "left_anti").select(*p.columns)), "canonical")
+    wrong = stored(wrong.unionByName(C.output_violations(merged).select("paper_id", "rule")).groupBy("paper_id").agg(F.min("rule").alias("rule")), "wrong")
+    fine = merged.join(wrong, "paper_id", "left_anti").select(*merged.columns)
+    return fine.select("paper_id", F.to_json(F.struct(*merged.columns)).alias("packet")).join(Q.rule_quality(fine).select("paper_id", "score"), "paper_id"), wrong
 
 
 def run(planned: DataFrame, make_provider: Callable[[], Provider], focus: dict[tuple[str, str], str] | None = None, o: Options = Options()) -> DataFrame:
@@ -343,9 +348,11 @@ def run(planned: DataFrame, make_provider: Callable[[], Provider], focus: dict[t
                 yield pd.DataFrame(rows)
 
     first = stored(d.mapInPandas(work, RECORD), "extracted")
-    done = canonical(first, planned).select(F.col("paper_id").alias("__id"), F.col("packet").alias("canonical"), "score")
+    done, wrong = canonical(first, planned)
+    done = done.select(F.col("paper_id").alias("__id"), F.col("packet").alias("canonical"), "score")
     names = [c for c in first.columns if c != "packet"]
     record = F.to_json(F.struct(*names), {"ignoreNullFields": "false"}).alias("record")
     todo = first.filter("status = 'extracted'").join(done, F.col("paper_id") == F.col("__id")).select("paper_id", record, "canonical", "score").join(d.select("paper_id", "chunks"), "paper_id")
     judged = stored(todo.select("record", "canonical", "score", "chunks").mapInPandas(judging, RECORD), "judged")
-    return judged.unionByName(first.filter("status = 'failed'"))
+    unfit = first.join(wrong, "paper_id").withColumns({"status": F.lit("failed"), "packet": F.lit(None).cast("string"), "error_type": F.lit("canonicalization"), "error_message": F.col("rule")}).select(*first.columns)
+    return judged.unionByName(first.filter("status = 'failed'")).unionByName(unfit)

@@ -272,6 +272,31 @@ def test_keys_compose_their_texts(spark):
     assert ids("5 µg daily", "ﬁrst trial", "ＡＢＣ") == ids("5 μg daily", "first trial", "abc") == ids("5 ug daily", "First Trial", "abc")
 
 
+def test_plans_name_their_members(spark):
+    from evidentia.operators import canonical_plan as C
+
+    p = packet()
+    u = p["research_questions"][0]["study_units"][0]
+    u["results"].append(u["results"][0] | {"result_id": "R2"})
+    u["claims"].append(u["claims"][0] | {"claim_id": "C2", "inference_basis_ids": ["R2"]})
+    d = table(spark, p)
+    planned = C.plan(d).cache()
+    assert sorted((r.entity_type, [m.source_entity_id for m in sorted(r.members, key=lambda m: m.source_entity_id)], r.representative.source_entity_id) for r in planned.collect()) == [("claim", ["C1", "C2"], "C1"), ("result", ["R1", "R2"], "R1"), ("study_unit", ["U1"], "U1")]
+    assert C.input_violations(d).count() == 0 and C.plan_violations(d, planned).count() == 0
+    u["results"][1]["unit"] = "mm"
+    assert {(r.rule, r.entity_id) for r in C.plan_violations(table(spark, p), planned).collect()} >= {("member_changed", "R2"), ("entity_unplanned", "R2")}
+    done = merging.canonicalize(d)
+    assert C.output_violations(done).count() == 0 and {r.rule for r in C.output_violations(d).collect()} == {"unit_id_not_canonical", "result_id_not_canonical", "claim_id_not_canonical"}
+    u["results"][1]["result_id"], u["claims"][0]["inference_basis_ids"] = "R1", ["R9"]
+    assert {(r.rule, r.entity_id) for r in C.input_violations(table(spark, p)).collect()} == {("result_id_repeats", "R1"), ("basis_outside_unit", "C1"), ("basis_outside_unit", "C2")}
+
+
+def test_equal_reasons_are_one_decision(spark):
+    m = [{"surviving_id": "a", "merged_ids": ["c", "b"], "reason": r} for r in ('{"x": 1, "a": 2}', '{"a":2,"x":1}', "plain")]
+    got = merging.canonicalize(table(spark, packet(merge_decisions=m))).first().merge_decisions
+    assert [(x.merged_ids, x.reason) for x in got] == [(["b", "c"], "plain"), (["b", "c"], '{"a":2,"x":1}')]
+
+
 def test_signatures_and_pointers(spark):
     d = spark.createDataFrame([("At E14.5, not >= 5 µg of p53-ko",)], "t string")
     s = d.select(canonical.signature(F.col("t")).alias("s")).first().s
