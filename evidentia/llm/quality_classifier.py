@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 
 from evidentia.llm.common import distinct_sorted, read, stored
 
-BUCKETS = 1 << 17
+#: Cells of a model.  With a quarter of them, frequent words that share a cell with toxic ones hid 4 % of toxic documents.
+BUCKETS = 1 << 19
 LABELLED = 200_000
 #: Lengths in bytes of the beginnings of words that count beside whole words: they catch inflected forms.
 HEADS = (4, 5)
@@ -186,8 +187,8 @@ def _counts(docs: DataFrame, votes: DataFrame, first: np.ndarray | None, limit:
                 pair = distinct_sorted((of * BUCKETS + found).ravel())
                 of, bucket = pair // BUCKETS, pair % BUCKETS
                 v, t = vote[here][of], good[here][of]
-                for i, w in enumerate((None, t, v * t, v)):
-                    total[i] += np.bincount(bucket, w, BUCKETS)
+                for i, w in enumerate((1, t, v * t, v)):
+                    np.add.at(total[i], bucket, w)
         some = np.flatnonzero(total[0])
         yield pd.DataFrame({"bucket": some, **{c: total[i, some] for i, c in enumerate(("raw", "target", "target_votes", "all_votes"))}})
 
@@ -202,15 +203,17 @@ def _ratios(counts: DataFrame, docs: tuple[float, float, float], surprise: float
     ``docs``: target votes, all votes, target documents a raw one.
     """
     out = np.zeros(BUCKETS)
-    rows = counts.toPandas()  # BUCKETS rows at most
-    if not len(rows) or not docs[1] or docs[0] in (0, docs[1]):
+    if not docs[1] or docs[0] in (0, docs[1]):
+        return out
+    least, share = max(6.0, support * docs[1]), docs[0] / docs[1]
+    rows = counts.filter(F.col("all_votes") >= least).toPandas()  # BUCKETS rows at most
+    if not len(rows):
         return out
-    share = docs[0] / docs[1]
     t, n = rows["target_votes"].to_numpy(), rows["all_votes"].to_numpy()
     with np.errstate(divide="ignore", invalid="ignore"):
         gain = np.nan_to_num(t * np.log(t / (share * n))) + np.nan_to_num((n - t) * np.log((n - t) / ((1 - share) * n)))
     ratio = np.log((rows["target"] + 0.5) / (rows["raw"] * docs[2] + 0.5)).to_numpy()
-    tells = (gain > surprise) & (n >= max(6.0, support * docs[1])) & (np.log((t + 0.5) / (share * n + 0.5)) < most)
+    tells = (gain > surprise) & (np.log((t + 0.5) / (share * n + 0.5)) < most)
     out[rows["bucket"].to_numpy()] = np.where(tells, np.minimum(ratio, 0), 0)
     return out
 

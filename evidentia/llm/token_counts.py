@@ -6,14 +6,15 @@ pre-tokens (spaces with the word after them, spaces before a line feed, line fee
 piece counts add up to the text's.  ``independent`` checks this of a vocabulary; for one
 that fails, whole texts go to the library.
 
-1. Frequencies.  A task numbers the pre-tokens it meets and keeps of each document the
-   numbers and how often each stands there, as bytes.  After ``DOCUMENTS`` documents or
-   ``TABLE`` pre-tokens it begins a new shard with numbers of its own.
-2. Counts.  The distinct pre-tokens of all shards are counted, each once in the whole corpus.
-3. Join.  Counts go back to the shards that have the pre-token, and meet the documents there.
-
-What is shuffled is a row for each pre-token of a shard and a few bytes for each pre-token
-of a document, not a row; a shard bounds what a task holds.
+1. Met.  Tasks hand on the distinct pre-tokens that they meet; those that several tasks met
+   are shared.
+2. Counts.  Each shared pre-token is counted once and for all.  ``SHARED`` of them at most, those
+   that most tasks met, make a table whose size is known, and are broadcast.
+3. Join.  A task joins its documents' frequencies to that table and sums; a pre-token that
+   isn't in it, being met here alone or rare, is counted where it is met.
+
+Documents and their frequencies aren't shuffled: a row for each pre-token of each document
+is several times the input, and so is what a shuffled join of shards by number needs.
 """
 
 from __future__ import annotations
@@ -24,16 +25,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evidentia.llm.common import read, stored
 
-#: Pre-tokens of a shard, and entries of ``Counts``' own table.
-TABLE = 400_000
-#: Documents of a shard.
-DOCUMENTS = 20_000
+#: Pre-tokens that a task remembers beside the shared ones.
+TABLE = 200_000
+#: Pre-tokens that are broadcast with their counts.
+SHARED = 300_000
 #: Longer pre-tokens are counted without entering the table.
 LONG = 64
 
@@ -52,8 +52,9 @@ def independent(model) -> bool:
 class Counts:
     """Piece counts of texts as ``model.encode`` gives them."""
 
-    def __init__(self, model) -> None:
-        self.model, self.table, self.apart = model, {}, independent(model)
+    def __init__(self, model, shared: dict[str, int] | None = None) -> None:
+        self.model, self.shared, self.apart = model, shared or {}, independent(model)
+        self.table = dict(self.shared)
         self.line = len(model.encode("\n"))  # pieces of a mark and a line feed
 
     def _new(self, tokens: list[str]) -> list[int]:
@@ -73,9 +74,9 @@ class Counts:
             return [len(x) for x in self.model.encode(texts, num_threads=1)] if texts else []
         for f in map(pretokens, texts):
             new = [t for t in f if t not in self.table]
-            if new and len(self.table) + len(new) > TABLE:
-                self.table.clear()
-                new = list(f)
+            if new and len(self.table) + len(new) > len(self.shared) + TABLE:
+                self.table = dict(self.shared)
+                new = [t for t in f if t not in self.table]
             if new:
                 self.table.update(zip(new, self._new(new), strict=True))
             yield sum(map(lambda t, n: self.table[t] * n, f.keys(), f.values()))
@@ -86,7 +87,11 @@ class Counts:
 
 def pretokens(text: str) -> Counter:
     """Frequencies of a text's pre-tokens."""
-    return Counter(_PRETOKEN.findall(f" {text.replace(_MARK, ' ')}")) if text else Counter()
+    return Counter(_split(text))
+
+
+def _split(text: str) -> list[str]:
+    return _PRETOKEN.findall(f" {text.replace(_MARK, ' ')}") if text else []
 
 
 def count_tokens(docs: DataFrame, model_file: str, limit: int = 4096) -> DataFrame:
@@ -104,57 +109,52 @@ def count_tokens(docs: DataFrame, model_file: str, limit: int = 4096) -> DataFra
 
         return sentencepiece.SentencePieceProcessor(model_file=model_file)
 
-    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = load()
-        for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "n_bytes": [len(t.encode()) for t in b["text"]], "n_tokens": [len(x) for x in model.encode(b["text"].tolist(), num_threads=1)]})
-
-    def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shard, n, numbers = TaskContext.get().partitionId() << 32, 0, {}
-        table = lambda: pd.DataFrame([(shard, None, None, None, None, i, t) for t, i in numbers.items()], columns=_FREQUENCIES, dtype=object)
+    def met(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: set[str] = set()
         for b in batches:
-            rows = []
-            for doc_id, text in b.itertuples(index=False):
-                f = pretokens(text)
-                if n and (n >= DOCUMENTS or len(numbers) + len(f) > TABLE):
-                    yield pd.DataFrame(rows, columns=_FREQUENCIES)
-                    yield table()
-                    shard, n, numbers, rows = shard + 1, 0, {}, []
-                places = np.fromiter((numbers.setdefault(t, len(numbers)) for t in f), np.uint32, len(f))
-                times = np.fromiter(f.values(), np.uint32, len(f))
-                rows.append((shard, doc_id, len(text.encode()), places.tobytes(), times.tobytes(), None, None))
-                n += 1
-            yield pd.DataFrame(rows, columns=_FREQUENCIES)
-        yield table()
+            for text in b["text"]:
+                found.update(t for t in set(_split(text)) if len(t) <= LONG)
+                if len(found) > TABLE:
+                    yield pd.DataFrame({"token": list(found)})
+                    found.clear()
+        yield pd.DataFrame({"token": list(found)}, dtype=object)
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = Counts(load())
         for b in batches:
             yield b.assign(pieces=counts.each(b["token"].tolist()))
 
-    def summed(own: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
-        worth = np.zeros(len(counts), np.int64)
-        worth[counts["place"].to_numpy()] = counts["pieces"].to_numpy()
-        total = [int(worth[np.frombuffer(p, np.uint32)] @ np.frombuffer(t, np.uint32).astype(np.int64)) for p, t in zip(own["places"], own["times"], strict=True)]
-        return pd.DataFrame({"doc_id": own["doc_id"], "n_bytes": own["n_bytes"], "n_tokens": total})
-
+    spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
     # ids go through Python as text, so that nulls among them make no floats
     d = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    result = "doc_id string, n_bytes long, n_tokens long"
+    table = None
     if independent(load()):
-        f = stored(d.mapInPandas(frequencies, "shard long, doc_id string, n_bytes long, places binary, times binary, place int, token string"), "frequencies")
-        tokens = f.filter("token is not null").select("shard", "place", "token")
-        worth = tokens.select("token").distinct().mapInPandas(pieces, "token string, pieces int")
-        counts = tokens.join(worth, "token").select(F.col("shard").alias("of_shard"), "place", "pieces")
-        own = f.filter("token is null").select("shard", "doc_id", "n_bytes", "places", "times")
-        counted = own.groupBy("shard").cogroup(counts.groupBy("of_shard")).applyInPandas(summed, result)
-    else:  # pre-tokens of this vocabulary don't add up: whole texts go to the library
-        counted = d.mapInPandas(whole, result)
+        shared = d.select("text").mapInPandas(met, "token string").groupBy("token").agg(F.count("*").alias("tasks")).filter("tasks > 1")
+        shared = stored(shared, "shared")
+        least, left = 2, SHARED
+        for tasks, n in shared.groupBy("tasks").count().orderBy(F.desc("tasks")).collect():  # a row for each number of tasks
+            if n > left:
+                least = tasks + 1
+                break
+            left -= n
+        found = shared.filter(F.col("tasks") >= least).select("token").mapInPandas(pieces, "token string, pieces int").toArrow()
+        table = spark.sparkContext.broadcast(("".join(t := found["token"].to_pylist()), np.array([len(x) for x in t], np.uint8), np.array(found["pieces"].to_pylist(), np.uint16)))
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = Counts(load(), _table(*table.value) if table is not None else None)
+        for b in batches:
+            texts = b["text"].tolist()
+            yield pd.DataFrame({"doc_id": b["doc_id"], "n_bytes": [len(t.encode()) for t in texts], "n_tokens": list(counts.of(texts))})
+
+    counted = d.mapInPandas(count, "doc_id string, n_bytes long, n_tokens long")
     return counted.select(F.col("doc_id").cast(kind).alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
-_FREQUENCIES = ["shard", "doc_id", "n_bytes", "places", "times", "place", "token"]
+def _table(text: str, sizes: np.ndarray, pieces: np.ndarray) -> dict[str, int]:
+    """The broadcast table: tokens lie end to end in one text."""
+    ends = np.cumsum(sizes, dtype=np.int64).tolist()
+    return {text[a:z]: n for a, z, n in zip([0, *ends], ends, pieces.tolist(), strict=False)}
 
 
 def op4_token_counts(spark, sf_dir: str) -> DataFrame:

@@ -226,14 +226,15 @@ def test_counts_with_a_small_table(model, monkeypatch):
     assert list(c.of(texts)) == [len(model.encode(t)) for t in texts] and not any(len(t) > token_counts.LONG for t in c.table)
 
 
-@pytest.mark.parametrize("table, documents_", [(5, 20_000), (400_000, 3)])
-def test_token_counts_of_small_shards(spark, monkeypatch, odd, model, table, documents_):
+@pytest.mark.parametrize("table, shared", [(5, 300_000), (200_000, 40), (200_000, 0)])
+def test_token_counts_of_small_tables(spark, monkeypatch, model, table, shared):
     import public_tokenizers
 
     monkeypatch.setattr(token_counts, "TABLE", table)
-    monkeypatch.setattr(token_counts, "DOCUMENTS", documents_)
-    got = token_counts.count_tokens(odd, str(public_tokenizers.path("piece_bpe_32k.model"))).collect()
-    assert Counter((r.doc_id, r.n_tokens) for r in got) == Counter((r.doc_id, len(model.encode(r.text or ""))) for r in odd.collect())
+    monkeypatch.setattr(token_counts, "SHARED", shared)
+    d = documents(spark).limit(60).repartition(5)
+    got = token_counts.count_tokens(d, str(public_tokenizers.path("piece_bpe_32k.model"))).collect()
+    assert Counter((r.doc_id, r.n_tokens) for r in got) == Counter((r.doc_id, len(model.encode(r.text or ""))) for r in d.collect())
 
 
 def test_token_counts_of_tables(spark, odd, none, model):
