@@ -370,3 +370,26 @@ def test_export_guards(spark, tmp_path):
         assert not (tmp_path / f"no{i}").exists()
     with pytest.raises(ValueError, match="no packets"):
         export.export(spark, str(tmp_path), str(tmp_path / "nothing"), str(tmp_path / "no"))
+
+
+def test_pdf_with_page_tree_fonts_and_object_streams():
+    import zlib
+
+    cmap = b"1 begincodespacerange <0000> <FFFF> endcodespacerange 2 beginbfchar <0001> <03BC> <0002> <00660069> endbfchar 1 beginbfrange <0010> <0012> <0041> endbfrange"
+    body = {
+        1: b"<< /Type /Catalog /Pages 2 0 R >>", 2: b"<< /Type /Pages /Kids [5 0 R 3 0 R] /Count 2 /Resources << /Font << /F1 7 0 R /F2 8 0 R >> >> >>",
+        3: b"<< /Type /Page /Parent 2 0 R /Contents [4 0 R] >>", 7: b"<< /Type /Font /Subtype /Type1 /Encoding << /Differences [65 /beta /uni00E9] >> >>", 8: b"<< /Type /Font /Subtype /Type0 /ToUnicode 9 0 R >>",
+    }
+    streams = {
+        4: b"BT /F1 12 Tf 1 0 0 1 10 700 Tm (last \\(page\\) A) Tj 1 0 0 1 10 680 Tm [(sp) -300 (aced) -20 (out)] TJ ET",
+        6: b"BT /F2 9 Tf <00010010> Tj 0 -12 Td <00020012> Tj ET", 9: cmap,
+    }
+    inner = b"<< /Type /Page /Parent 2 0 R /Contents 6 0 R >>"
+    out = b"%PDF-1.5\n" + b"".join(b"%d 0 obj\n%s\nendobj\n" % x for x in body.items())
+    packed = b"5 0 " + inner
+    streams_ = {n: (b"<< /Length %d /Filter /FlateDecode >>", zlib.compress(s)) for n, s in streams.items()} | {10: (b"<< /Type /ObjStm /N 1 /First 4 /Length %d /Filter [/FlateDecode] >>", zlib.compress(packed))}
+    for n, (head, data) in streams_.items():
+        out += b"%d 0 obj\n" % n + head % len(data) + b"\nstream\n" + data + b"\nendstream\nendobj\n"
+    out += b"trailer << /Root 1 0 R >>\n%%EOF"
+    assert inputs.pdf_text(out) == ["μA\nfiC", "last (page) β\nsp acedout"]
+    assert inputs.pdf_text(out.replace(b"/Root 1 0 R", b"/Root 1 0 R /Encrypt 9 0 R")) == []
