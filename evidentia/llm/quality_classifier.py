@@ -308,7 +308,9 @@ def resample(docs: DataFrame, labels: DataFrame, limit: float = -5.0, temperatur
     k is the number of documents with a weight over ``limit``, so with little noise the
     sample is them.  Null and empty texts have weight 0 and so are kept.  Rows with equal
     ids and texts have equal keys and share their lot; where they tie for the last place
-    all stay.  Reruns agree.
+    all stay.  Rows without id share one draw of noise.  Texts of any length are read whole,
+    an empty table gives an empty one, and other columns of ``docs`` are ignored, whatever
+    their names.  Reruns agree.
     """
     model = fit(docs, labels)
     d = docs.select("doc_id", weight(F.col("text"), model).alias("w"))
@@ -321,6 +323,7 @@ def kept_rows(docs: DataFrame, labels: DataFrame, limit: float = -5.0, temperatu
     """The rows of ``docs`` that ``resample`` keeps, with all their columns.
 
     Rows are stored with their weights, so each text is weighed once and none is shuffled.
+    ``docs`` must not have columns named __w or __key.
     """
     model = fit(docs, labels)
     d = stored(docs.withColumn("__w", weight(F.col("text"), model)), "weights")

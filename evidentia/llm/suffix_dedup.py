@@ -454,7 +454,9 @@ def removed_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     Strings are judged on the input; matches never cross documents.  Null and empty texts
     have no bytes, and below ``length`` bytes nothing goes.  Repeated rows each count, and
-    so repeat each other's strings.  Ids may be null or shared.
+    so repeat each other's strings.  Ids may be null or shared; rows are then told apart by a
+    64-bit hash of id and text.  Texts of any length are read whole, an empty table gives an
+    empty one, and other columns are ignored, whatever their names.
     """
 
     @F.pandas_udf("n_bytes long, n_removed long, n_spans long, kept_sha256 string")
