@@ -28,10 +28,10 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row, that of the least id, of each group linked on 5-word shingles at 0.8.
 
-    Null and empty texts link with nothing and stay, and so do rows without id.  Repeated rows
-    share an id, so all of a least id's stay; ids that have a row which isn't kept go.
+    Null and empty texts link with nothing and stay, and so do rows without id.  Rows that
+    share an id stay together, if any of them is kept.
     """
-    gone = near_dedup.link(docs, n=5, percent=80).filter("not kept").select(F.col("doc_id").alias("gone"))
+    gone = near_dedup.link(docs, n=5, percent=80).groupBy(F.col("doc_id").alias("gone")).agg(F.max("kept").alias("kept")).filter("not kept").drop("kept")
     return docs.join(gone, docs["doc_id"] == F.col("gone"), "left_anti")
 
 
