@@ -30,26 +30,58 @@ def merge_complete(keys: list[str], score: np.ndarray, threshold: int) -> list[l
     return members
 
 
+def _connected(keys: set[str], links: list) -> Iterator[tuple[list[str], list]]:
+    """Parts of ``keys`` that ``links`` (a, b, score_ppm) connect, with their links."""
+    near: dict[str, list] = {k: [] for k in keys}
+    for r in links:
+        near[r.a].append(r)
+        near[r.b].append(r)
+    left = set(keys)
+    for k in sorted(keys):
+        if k not in left:
+            continue
+        left.discard(k)
+        part, mine, ahead = [k], [], [k]
+        while ahead:
+            x = ahead.pop()
+            for r in near[x]:
+                mine += [r] if r.a == x else []
+                y = r.b if r.a == x else r.a
+                if y in left:
+                    left.discard(y)
+                    part.append(y)
+                    ahead.append(y)
+        yield sorted(part), mine
+
+
+def _matrix(keys: list[str], links: list) -> np.ndarray:
+    at = {k: i for i, k in enumerate(keys)}
+    score = np.zeros((len(keys), len(keys)), np.int64)
+    for r in links:
+        score[at[r.a], at[r.b]] = score[at[r.b], at[r.a]] = r.score_ppm
+    return score
+
+
 def complete_link(items: DataFrame, pairs: DataFrame, threshold_ppm: int, block: str = "block") -> DataFrame:
     """(block, key, cluster) of ``items`` (block, key string) by ``pairs`` (block, a, b, score_ppm).
 
-    A missing pair scores 0; the cluster is named by its least key.  A block is a task's
-    unit of work, quadratic in its size: blocks must be keys that bound it.
+    A missing pair scores 0; the cluster is named by its least key.  Pairs under the threshold
+    can't be in a cluster, so they aren't shuffled, and what the others don't connect is
+    clustered apart: work and memory are quadratic in a connected part of a block, not in
+    the block.  A block's keys and connecting pairs meet in one task.
     """
-    scored = pairs.select(block, F.col("a"), F.col("b"), F.col("score_ppm").cast("long").alias("score_ppm"))
+    if threshold_ppm < 1:
+        raise ValueError("threshold_ppm must be at least 1")
+    scored = pairs.select(block, F.col("a"), F.col("b"), F.col("score_ppm").cast("long").alias("score_ppm")).filter(F.col("score_ppm") >= threshold_ppm)
     rows = items.select(block, F.col("key").alias("a"), F.lit(None).cast("string").alias("b"), F.lit(0).cast("long").alias("score_ppm")).distinct().unionByName(scored)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         each = (r for b in batches for r in b.itertuples(index=False))
         for name, group in itertools.groupby(each, key=lambda r: r[0]):
             group = list(group)
-            keys = sorted({r.a for r in group if r.b is None})
-            at = {k: i for i, k in enumerate(keys)}
-            score = np.zeros((len(keys), len(keys)), np.int64)
-            for r in group:
-                if r.b is not None and r.a in at and r.b in at and r.a != r.b:
-                    score[at[r.a], at[r.b]] = score[at[r.b], at[r.a]] = r.score_ppm
-            found = merge_complete(keys, score, threshold_ppm)
+            keys = {r.a for r in group if r.b is None}
+            links = [r for r in group if r.b is not None and r.a in keys and r.b in keys and r.a != r.b]
+            found = [c for part, mine in _connected(keys, links) for c in merge_complete(part, _matrix(part, mine), threshold_ppm)]
             yield pd.DataFrame([(name, k, c[0]) for c in found for k in c], columns=[block, "key", "cluster"])
 
     kind = items.schema[block].dataType.simpleString()

@@ -340,3 +340,24 @@ def test_unknown_basis_stops_the_merge(spark):
 def test_missing_rescue_is_noted_once(spark):
     d = spark.createDataFrame([("causal_validation", "x", ["b"]), ("causal_validation", "a Rescue", []), ("contrastive", "x", []), ("causal_validation", "x", [merging.NO_RESCUE])], "m string, t string, b array<string>")
     assert [len(r[0]) for r in d.select(merging.note_missing_rescue(F.col("b"), F.col("m"), F.col("t"))).collect()] == [2, 0, 0, 1]
+
+
+def test_complete_link_by_parts_equals_whole_blocks(spark):
+    import random
+
+    import numpy as np
+
+    random.seed(6)
+    items, pairs, want = [], [], set()
+    for block in range(4):
+        keys = [f"k{i:02d}" for i in range(25)]
+        score = np.zeros((25, 25), int)
+        for i in range(25):
+            for j in range(i + 1, 25):
+                if random.random() < 0.25:
+                    score[i, j] = score[j, i] = random.choice((100, 500, 700, 900))
+                    pairs.append((block, *((keys[i], keys[j]) if random.random() < 0.5 else (keys[j], keys[i])), int(score[i, j])))
+        items += [(block, k) for k in keys]
+        want |= {(block, k, c[0]) for c in clusters.merge_complete(keys, score, 500) for k in c}
+    d = clusters.complete_link(spark.createDataFrame(items, "block int, key string"), spark.createDataFrame(pairs, "block int, a string, b string, score_ppm int"), 500)
+    assert set(map(tuple, d.collect())) == want and len({c for _, _, c in want}) < 25
