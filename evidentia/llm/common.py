@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -89,5 +90,13 @@ def distinct_sorted(x: np.ndarray) -> np.ndarray:
     return x[new]
 
 
+def give_back() -> None:
+    """Returns freed memory of this Python worker to the system, where the C library can; workers wait for tasks of other stages with what they hold."""
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

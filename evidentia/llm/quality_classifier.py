@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidentia.llm.common import distinct_sorted, read, stored
+from evidentia.llm.common import distinct_sorted, give_back, read, stored
 
 #: Cells of a model.  With a quarter of them, frequent words that share a cell with toxic ones hid 4 % of toxic documents.
 BUCKETS = 1 << 19
@@ -191,6 +191,8 @@ def _counts(docs: DataFrame, votes: DataFrame, first: np.ndarray | None, limit:
                     np.add.at(total[i], bucket, w)
         some = np.flatnonzero(total[0])
         yield pd.DataFrame({"bucket": some, **{c: total[i, some] for i, c in enumerate(("raw", "target", "target_votes", "all_votes"))}})
+        del total, some
+        give_back()
 
     d = docs.join(votes, docs["doc_id"] == votes["labelled_id"], "left").select("text", F.coalesce("good", F.lit(False)).alias("good"), F.coalesce("vote", F.lit(0.0)).alias("vote"))
     parts = d.mapInPandas(run, "bucket long, raw double, target double, target_votes double, all_votes double")
@@ -264,6 +266,7 @@ def weight(text: Column, model: Model) -> Column:
         for b in batches:
             parts = [g.scores(model) for g in grams(b.tolist(), hashes)]
             yield pd.Series(np.concatenate(parts) if parts else np.empty(0))
+        give_back()
 
     return run(text)
 

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidentia.llm.common import read, stored
+from evidentia.llm.common import give_back, read, stored
 
 LENGTH = 200
 #: Lengths of the inner strings that labels are made of, by level.
@@ -260,6 +260,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             for rows, part in _parts((None if t is None else t.encode("utf-8", "surrogatepass") for t in b["text"]), length):
                 of, lo, hi, label, content, own = segments.of(part)
                 yield pd.DataFrame({"label": label, "content": content, "key": keys[rows[of]], "lo": lo, "hi": hi, "own": own})
+        give_back()
 
     occurrences = stored(docs.select(F.col("__key").alias("key"), "text").mapInPandas(cut, "label long, content long, key long, lo int, hi int, own boolean"), "occurrences")
     often = occurrences.groupBy("label").agg(F.count("*").alias("times"), F.max("own").alias("own")).filter("times > 1 or own").select("label")
@@ -281,11 +282,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                     data = text.encode("utf-8", "surrogatepass")
                     rows += [(key, lo, label, shard, copied, heavy, data[lo : hi + length]) for lo, hi, label, shard, copied, heavy in zip(*asked, strict=True)]
                 yield pd.DataFrame(rows, columns=["key", "lo", "label", "shard", "copied", "heavy", "data"])
+        give_back()
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = (r for b in batches for r in b.itertuples(index=False))
         for _, group in itertools.groupby(rows, key=lambda r: r.shard):
             yield _search(list(group), length)
+            give_back()
 
     mine = docs.join(asked, F.col("__key") == F.col("__of")).select("__key", "text", "__lo", "__hi", "__label", "__shard", "__copied", "__heavy")
     pieces = mine.mapInPandas(fetch, "key long, lo int, label long, shard long, copied boolean, heavy boolean, data binary")
