@@ -5,12 +5,14 @@ keeps of its least hash the count of leading zeros (6 bits) and the next 10 bits
 empty register borrows the value of another, found by a fixed sequence of probes, so that
 short texts fill all.  Two texts agree in a register with a chance near their Jaccard
 index J.  The registers form ``BANDS`` bands of ``ROWS``; at J = 0.8 a pair shares no band
-once in 300,000 pairs.
+once in 1,400 million pairs.
 
 1. Texts with the same shingle set form a class; only its least id goes on.
 2. Texts that share a band hang on two hubs of the band, its least and greatest by hash: a
    bucket of n gives 2 n edges, not n^2.  Edges whose collision-corrected estimate is
-   under the threshold less ``SLACK`` (over five standard deviations) fall.
+   under the threshold less ``SLACK`` (over five standard deviations) fall.  Texts of a
+   bucket that these edges leave in several components are then compared with each other,
+   registers against registers, so that every pair of a bucket is tried or connected.
 3. Components of these edges are the units to verify: whole texts go there once.  A
    component over ``UNIT`` texts is split by hub into chunks that all hold the hub; what
    that leaves apart is then compared block by block, every pair of chunks in a task, but
@@ -34,16 +36,18 @@ from pyspark.sql import functions as F
 from evidentia.llm.common import distinct_sorted, give_back, read, stored
 from evidentia.llm.components import components
 
-BANDS, ROWS = 32, 5
+BANDS, ROWS = 40, 4
 REGISTERS = BANDS * ROWS
 MANTISSA = 10
 #: Chance that two independent registers agree: equal zeros (1/3) and equal mantissas.
 COLLISION = 1 / 3 / 2**MANTISSA
-SLACK = 0.18
+SLACK = 0.22
 #: Sets with fewer shingles go to verification whatever the estimate.
 FEW = 16
 UNIT = 400
 UNIT_SHINGLES = 1_000_000
+#: Registers of so many texts, twice, are compared in a task.
+BUCKET = 1000
 #: Spokes of a hub are dealt to so many tasks.
 SALT = 16
 _TABLE = 300_000
@@ -148,11 +152,16 @@ def features(docs: DataFrame, n: int) -> DataFrame:
     return d.mapInPandas(run, "doc_id long, n_shingles long, set_id binary, registers binary")
 
 
-def candidate_edges(reps: DataFrame, least: float) -> DataFrame:
-    """(a, b): texts of ``reps`` (doc_id, registers, n_shingles) and the hubs of their bands, with an estimate of ``least`` at least or few shingles."""
+def candidate_edges(reps: DataFrame, least: float, percent: int = 0) -> DataFrame:
+    """(a, b), stored: what connects all pairs of ``reps`` (doc_id, registers, n_shingles) that share a band and may link.
+
+    A pair may link if the smaller set has ``percent`` of the shingles of the larger, and the
+    estimate is ``least`` at least or either has few shingles.
+    """
     width = 2 * ROWS
     band = lambda i: F.xxhash64(F.lit(i), F.substring("registers", 1 + width * i, width))
-    rows = reps.select("doc_id", F.explode(F.array(*map(band, range(BANDS)))).alias("key"))
+    bands = F.explode(F.array(*map(band, range(BANDS)))).alias("key")
+    rows = reps.select("doc_id", bands)
     order = F.struct(F.xxhash64("doc_id").alias("h"), F.col("doc_id").alias("id"))
     hubs = rows.groupBy("key").agg(F.count("*").alias("n"), F.min(order).alias("lo"), F.max(order).alias("hi")).filter("n > 1")
     hubs = hubs.select("key", F.col("lo.id").alias("lo"), F.col("hi.id").alias("hi"))
@@ -164,7 +173,51 @@ def candidate_edges(reps: DataFrame, least: float) -> DataFrame:
         return pd.Series(estimate(_as_rows(a), _as_rows(b)))
 
     ra, rb = (reps.select(F.col("doc_id").alias(c), F.col("registers").alias(f"r{c}"), F.col("n_shingles").alias(f"n{c}")) for c in "ab")
-    return edges.join(ra, "a").join(rb, "b").filter((likely("ra", "rb") >= least) | (F.least("na", "nb") < FEW)).select("a", "b")
+    edges = edges.join(ra, "a").join(rb, "b").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    edges = stored(edges.filter((F.least("na", "nb") < FEW) | (likely("ra", "rb") >= least)).select("a", "b"), "candidates", compact=True)
+
+    # buckets of up to three are all hubs and one spoke; equal buckets of several bands count once
+    roots = components(edges).withColumnsRenamed({"node": "doc_id"})
+    placed = stored(reps.join(roots, "doc_id", "left").withColumn("known", F.coalesce("root", "doc_id")).drop("root"), "placed")
+    rows = placed.select("doc_id", "known", bands)
+    mixed = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("known").alias("lo"), F.max("known").alias("hi"), F.bit_xor(F.xxhash64("doc_id", F.lit(5))).alias("x"), F.sum("doc_id").alias("y"))
+    mixed = mixed.filter("n > 3 and lo < hi").groupBy("n", "lo", "hi", "x", "y").agg(F.min("key").alias("key")).select("key")
+    d = rows.join(mixed, "key").select(F.col("key").alias("unit"), "doc_id", F.lit(0).alias("n_shingles"), "known")
+    blocks = stored(_met(d, BUCKET), "buckets", compact=True)
+    if not blocks.limit(1).count():
+        return edges
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = (r for b in batches for r in b.itertuples(index=False))
+        for (_, i, j), group in itertools.groupby(rows, key=lambda r: (r.unit, r.i, r.j)):
+            group = [*group]
+            if len({r.chunk for r in group}) == 1 + (i < j):
+                yield pd.DataFrame(_likely_pairs(group, least, percent), columns=["a", "b"])
+
+    full = blocks.join(reps, "doc_id").repartition("unit", "i", "j").sortWithinPartitions("unit", "i", "j")
+    return edges.unionByName(stored(full.mapInPandas(compare, "a long, b long").distinct(), "candidates", compact=True))
+
+
+def _likely_pairs(rows: list, least: float, percent: int) -> list[tuple[int, int]]:
+    """Pairs that may link and connect what isn't of the same ``known``; with several ``chunk``, pairs inside a chunk are left out."""
+    at = {}
+    known = np.array([at.setdefault(r.known, len(at)) for r in rows])
+    ids, chunk, size = (np.array([getattr(r, c) for r in rows]) for c in ("doc_id", "chunk", "n_shingles"))
+    registers_ = np.frombuffer(b"".join(r.registers for r in rows), np.uint16).reshape(-1, REGISTERS)
+    across = chunk.min() < chunk.max()
+    out, group, ahead = [], known.copy(), np.ones(len(rows), bool)
+    for i in np.argsort(np.bincount(known)[known], kind="stable"):  # the largest group last, which has then nothing to meet
+        ahead[i] = False
+        others = np.flatnonzero(ahead & (group != group[i]) & ((chunk != chunk[i]) if across else True))
+        others = others[100 * np.minimum(size[others], size[i]) >= percent * np.maximum(size[others], size[i])]
+        if not len(others):
+            continue
+        hits = others[(np.minimum(size[others], size[i]) < FEW) | (estimate(registers_[others], registers_[i]) >= least)]
+        for j in hits:
+            if group[j] != group[i]:
+                out.append((int(ids[j]), int(ids[i])))
+                group[group == group[j]] = group[i]
+    return out
 
 
 def _units(edges: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -191,14 +244,21 @@ def _units(edges: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _blocks(placed: DataFrame, links: DataFrame, sizes: DataFrame) -> DataFrame:
     """(unit, i, j, doc_id, chunk, known): where the texts of large components that ``links`` leave apart meet, each pair of chunks i <= j.
 
-    Texts of the same ``known`` are connected.  The largest such group of a component has
-    chunks of its own, which meet only the other texts' chunks.
+    Texts of the same ``known`` are connected.
     """
     known = F.coalesce("root", "doc_id").alias("known")
     large = placed.filter("chunks > 1").select(F.col("root").alias("unit"), F.col("node").alias("doc_id")).join(sizes, "doc_id")
     d = large.join(components(links).withColumnsRenamed({"node": "doc_id"}), "doc_id", "left").select("unit", "doc_id", "n_shingles", known)
+    return _met(d, UNIT)
+
+
+def _met(d: DataFrame, texts: int) -> DataFrame:
+    """(unit, i, j, doc_id, chunk, known): each pair of chunks i <= j, of some ``texts`` each, in which texts of ``d`` (unit, doc_id, n_shingles, known) that aren't of the same ``known`` meet.
+
+    The largest ``known`` of a unit has chunks of its own, which meet only the other texts' chunks.
+    """
     groups = d.groupBy("unit", "known").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("m"))
-    number = lambda n, m: F.greatest(F.ceil(n / UNIT), F.ceil(m / UNIT_SHINGLES)).cast("int")
+    number = lambda n, m: F.greatest(F.ceil(n / texts), F.ceil(m / UNIT_SHINGLES)).cast("int")
     totals = groups.groupBy("unit").agg(F.max(F.struct("n", "m", "known")).alias("top"), F.sum("n").alias("n"), F.sum("m").alias("m")).filter("n > top.n")
     totals = totals.select("unit", F.col("top.known").alias("top"), number(F.col("n") - F.col("top.n"), F.col("m") - F.col("top.m")).alias("apart"), number(F.col("top.n"), F.col("top.m")).alias("linked"))
     h = F.xxhash64("doc_id", F.lit(7))
@@ -299,7 +359,7 @@ def _link(docs: DataFrame, d: DataFrame, n: int, percent: int) -> DataFrame:
     """``link`` of rows whose ids, where they repeat, have one text; ``d``: their features, stored."""
     reps = d.filter("doc_id is not null and set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("registers").alias("registers"), F.first("n_shingles").alias("n_shingles"))
     reps = stored(reps, "classes")
-    edges = stored(candidate_edges(reps.select("doc_id", "registers", "n_shingles"), percent / 100 - SLACK), "candidates", compact=True)
+    edges = candidate_edges(reps.select("doc_id", "registers", "n_shingles"), percent / 100 - SLACK, percent)
     sizes = reps.select("doc_id", "n_shingles")
     units, placed = _units(edges, sizes)
 

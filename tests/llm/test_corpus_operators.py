@@ -153,6 +153,22 @@ def test_copies_of_very_short_texts(spark):
     assert [i for i in range(2000) if got[2 * i + 1][1:] != (2 * i, False)] == []
 
 
+def test_pairs_of_a_band_whose_hubs_are_far(spark, monkeypatch):
+    """Texts of 60 slots with one of two fillings each: bands hold many texts that aren't near, so that two near ones are often both spokes of far hubs."""
+    monkeypatch.setattr(near_dedup, "BUCKET", 50, raising=False)
+    rng = np.random.default_rng(4)
+    slots = rng.integers(0, 2, (2000, 60))
+    twins = slots.copy()
+    for t in twins:
+        at = rng.permutation(60)[:6]
+        t[at] = 1 - t[at]  # J = 54 / 66
+    slots = np.concatenate([slots, twins])
+    d = table(spark, [" ".join(f"s{i}v{v}w{w}" for i, v in enumerate(s) for w in range(2)) for s in slots.tolist()])
+    reps = common.stored(near_dedup.features(d, 1).drop("set_id"), "reps")
+    roots = {r.node: r.root for r in components.components(near_dedup.candidate_edges(reps, 0.8 - near_dedup.SLACK)).collect()}
+    assert [i for i in range(2000) if roots.get(i, i) != roots.get(2000 + i, 2000 + i)] == []
+
+
 def test_near_dedup_of_odd_tables(spark, odd, none):
     d = near_dedup.link(odd, 4)
     assert d.count() == odd.count() and near_dedup.link(none, 4).count() == 0
