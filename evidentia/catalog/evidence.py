@@ -188,7 +188,7 @@ def complete_link(spark, sf_dir):
     """Clusters of the vectors of a label whose cosines all reach 0.2."""
     v = table(spark, sf_dir, "embeddings")
     items = v.select("label", F.col("vec_id").cast("string").alias("key"))
-    return L.complete_link(items, L.cosine_pairs(v, "label", "vec_id", "embedding"), 200_000, "label")
+    return L.complete_link(items, L.cosine_pairs(v, "label", "vec_id", "embedding", 200_000), 200_000, "label")
 
 
 def similarity_ratio(spark, sf_dir):

@@ -342,6 +342,21 @@ def test_missing_rescue_is_noted_once(spark):
     assert [len(r[0]) for r in d.select(merging.note_missing_rescue(F.col("b"), F.col("m"), F.col("t"))).collect()] == [2, 0, 0, 1]
 
 
+def test_complete_link_of_a_large_part_takes_quadratic_time():
+    import time
+
+    v = np.random.default_rng(0).normal(size=(2500, 64))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    score = np.maximum(0, np.round(v @ v.T * 1e6)).astype(np.int64)
+    began = time.time()
+    found = clusters.merge_complete([f"{i:04}" for i in range(2500)], score, 200_000)
+    assert time.time() - began < 15  # with a search of the whole matrix for every merge: over half a minute
+    for c in found:
+        at = [int(k) for k in c]
+        assert (score[np.ix_(at, at)] >= 200_000).all()
+    assert sorted(k for c in found for k in c) == [f"{i:04}" for i in range(2500)]
+
+
 def test_complete_link_by_parts_equals_whole_blocks(spark):
     import random
 
