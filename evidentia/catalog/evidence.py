@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from evidentia.catalog.planning import PAGES_SQL, PROSE, papers, plan_sql, table
@@ -17,7 +16,6 @@ from evidentia.operators import validation as V
 from evidentia.operators.chunks import chunk_rows
 from evidentia.operators.merging import canonicalize
 from evidentia.schemas import CLAIM, DATASET, MERGE, METHOD, PROVENANCE, RESULT, SPAN
-from evidentia.sources.shared import stored
 
 
 def _provenance(spark, sf_dir):
@@ -219,47 +217,62 @@ def atomic_items(spark, sf_dir):
     return items(order_packets(spark, sf_dir)).groupBy("kind").agg(F.count("*").alias("n"))
 
 
+def _order_lines(spark, sf_dir):
+    """(l_orderkey, lines): an order's lines in order, with no more than its packet says of them: this is what is shuffled by customer."""
+    li = table(spark, sf_dir, "lineitem")
+    true = lambda c: F.coalesce(c, F.lit(False))
+    raw = {"many": true(F.col("l_quantity") > 25), "upper": true(F.dayofmonth("l_shipdate") % 2 == 0), "pieces": true(F.col("l_discount") > 0.05)}
+    by, told = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_tax"], ["l_returnflag", "l_linestatus", *raw]
+    li = li.select("l_orderkey", *by, *told[:2], *(c.alias(n) for n, c in raw.items())).repartition("l_orderkey")  # rows, as few orders have several in a task
+    lines = F.sort_array(F.collect_list(F.struct(*by, *told)))
+    return li.groupBy("l_orderkey").agg(F.transform(lines, lambda x: F.struct(x["l_suppkey"].alias("l_suppkey"), (x["l_tax"] > 0.04).alias("retold"), *(x[c].alias(c) for c in told))).alias("lines"))
+
+
 def restated_packets(spark, sf_dir):
-    """Customers as papers, orders as units named by their priority, lines as results and claims that differ in spelling and provenance alone."""
-    of_order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_tax")
-    li = table(spark, sf_dir, "lineitem").withColumn("n", F.row_number().over(of_order))
-    retold = F.col("l_tax") > 0.04
-    prov = F.struct(F.concat(F.lit("c"), F.col("l_suppkey").cast("string")).alias("chunk_id"), F.lit(1).alias("page_start"), F.lit(1).alias("page_end"), F.lit("x").alias("text_excerpt"), retold.alias("paraphrased"))
+    """Customers as papers, orders as units named by their priority, lines as results and claims that differ in spelling and provenance alone.
+
+    Packets are built from a customer's orders and lines within its row.
+    """
     none = F.array().cast(f"array<{PROVENANCE}>")
-    raw = F.concat("l_linestatus", F.when(F.col("l_quantity") > 25, " many").otherwise(" few"))
-    raw = F.when(F.dayofmonth("l_shipdate") % 2 == 0, F.upper(raw)).otherwise(F.lower(raw))
-    number = F.lpad(F.col("n").cast("string"), 3, "0")
-    result = F.struct(
-        number.alias("result_id"), F.col("l_returnflag").alias("metric_name"), raw.alias("value_raw_text"), F.lit(None).cast("double").alias("quantitative_value"),
-        F.when(F.col("l_discount") > 0.05, "pieces").alias("unit"), F.lit(None).cast("double").alias("p_value"), F.lit(None).cast("int").alias("n_sample_size"), prov.alias("provenance"), none.alias("additional_provenance"),
-    )
-    polarity = F.when(F.col("l_returnflag") == "R", "negative").otherwise("positive")
-    claim = F.struct(F.concat(F.lit("c"), number).alias("claim_id"), F.lit("Shipped.").alias("statement"), polarity.alias("polarity"), F.array(number).alias("inference_basis_ids"), prov.alias("provenance"), none.alias("additional_provenance"))
-    lines = li.groupBy("l_orderkey").agg(F.collect_list(result).alias("results"), F.collect_list(F.when(F.col("l_linestatus") == "F", claim)).alias("claims"))
-    o = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     empty = lambda t: F.array().cast(f"array<{t}>")
-    lists = [F.coalesce(c, empty(t)).alias(c) for c, t in (("results", RESULT), ("claims", CLAIM))]
-    unit = F.struct(
-        F.col("o_orderkey").cast("string").alias("unit_id"), F.col("o_orderpriority").alias("name"), F.array("o_orderpriority").alias("experiments_or_tasks"), empty(DATASET).alias("datasets"), empty(METHOD).alias("methods"), *lists,
-        empty(SPAN).alias("evidence_spans"),
-    )
-    q = o.groupBy(F.col("o_custkey").cast("string").alias("paper_id")).agg(F.collect_list(unit).alias("us"))
-    question = F.struct(F.lit("q").alias("question_id"), F.lit("What?").alias("statement"), F.col("us").alias("study_units"))
+    number = lambda k: F.lpad((k + 1).cast("string"), 3, "0")
+    prov = lambda x: F.struct(F.concat(F.lit("c"), x["l_suppkey"].cast("string")).alias("chunk_id"), F.lit(1).alias("page_start"), F.lit(1).alias("page_end"), F.lit("x").alias("text_excerpt"), x["retold"].alias("paraphrased"))
+
+    def result(x, k):
+        raw = F.concat(x["l_linestatus"], F.when(x["many"], " many").otherwise(" few"))
+        return F.struct(
+            number(k).alias("result_id"), x["l_returnflag"].alias("metric_name"), F.when(x["upper"], F.upper(raw)).otherwise(F.lower(raw)).alias("value_raw_text"), F.lit(None).cast("double").alias("quantitative_value"),
+            F.when(x["pieces"], "pieces").alias("unit"), F.lit(None).cast("double").alias("p_value"), F.lit(None).cast("int").alias("n_sample_size"), prov(x).alias("provenance"), none.alias("additional_provenance"),
+        )
+
+    def claim(x, k):
+        polarity = F.when(x["l_returnflag"] == "R", "negative").otherwise("positive")
+        return F.struct(F.concat(F.lit("c"), number(k)).alias("claim_id"), F.lit("Shipped.").alias("statement"), polarity.alias("polarity"), F.array(number(k)).alias("inference_basis_ids"), prov(x).alias("provenance"), none.alias("additional_provenance"))
+
+    def unit(o):
+        results = F.coalesce(F.transform(o["lines"], result), empty(RESULT))
+        claims = F.coalesce(F.filter(F.transform(o["lines"], lambda x, k: F.when(x["l_linestatus"] == "F", claim(x, k))), lambda c: c.isNotNull()), empty(CLAIM))
+        return F.struct(
+            o["o_orderkey"].cast("string").alias("unit_id"), o["o_orderpriority"].alias("name"), F.array(o["o_orderpriority"]).alias("experiments_or_tasks"), empty(DATASET).alias("datasets"), empty(METHOD).alias("methods"),
+            results.alias("results"), claims.alias("claims"), empty(SPAN).alias("evidence_spans"),
+        )
+
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority").join(_order_lines(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    q = o.groupBy(F.col("o_custkey").cast("string").alias("paper_id")).agg(F.collect_list(F.struct("o_orderkey", "o_orderpriority", "lines")).alias("os"))
+    question = F.struct(F.lit("q").alias("question_id"), F.lit("What?").alias("statement"), F.transform("os", unit).alias("study_units"))
     return q.select("paper_id", F.array(question).alias("research_questions"), empty(MERGE).alias("merge_decisions"))
 
 
 def canonical_packets(spark, sf_dir):
     """Results, claims and merges of restated packets after canonicalisation: who stands for a group, and all it rests on."""
-    d = stored(canonicalize(restated_packets(spark, sf_dir)), "canonical")
-    u = d.select("paper_id", F.explode(F.flatten(F.transform("research_questions", lambda q: q["study_units"]))).alias("u"))
+    d = canonicalize(restated_packets(spark, sf_dir))
+    d = d.select("paper_id", F.flatten(F.transform("research_questions", lambda q: q["study_units"])).alias("us"), F.transform("merge_decisions", lambda m: F.substring_index(m["surviving_id"], "_", 1)).alias("ms"))
     told = lambda e: F.array_join(F.transform(F.concat(F.array(e["provenance"]), e["additional_provenance"]), lambda p: F.concat(p["chunk_id"], F.when(p["paraphrased"], "~").otherwise(""))), ",")
-    parts = [
-        u.select("paper_id", F.lit(kind).alias("kind"), F.col("u.name").alias("unit_name"), F.explode(f"u.{kind}s").alias("e")).select("paper_id", "kind", "unit_name", F.col(a).alias("a"), F.col(b).alias("b"), told(F.col("e")).alias("c"))
-        for kind, a, b in (("result", "e.metric_name", "e.value_raw_text"), ("claim", "e.polarity", "e.statement"))
-    ]
-    m = d.select("paper_id", F.explode("merge_decisions").alias("m")).groupBy("paper_id", F.substring_index("m.surviving_id", "_", 1).alias("a")).agg(F.count("*").cast("string").alias("b"))
-    parts.append(m.select("paper_id", F.lit("merge").alias("kind"), F.lit("").alias("unit_name"), "a", "b", F.lit("").alias("c")))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    row = lambda kind, unit_name, a, b, c: F.struct(F.lit(kind).alias("kind"), unit_name.alias("unit_name"), a.alias("a"), b.alias("b"), c.alias("c"))
+    of_unit = lambda kind, a, b: F.flatten(F.transform("us", lambda u: F.transform(u[f"{kind}s"], lambda e: row(kind, u["name"], e[a], e[b], told(e)))))
+    merges = F.transform(F.array_distinct("ms"), lambda a: row("merge", F.lit(""), a, F.size(F.filter("ms", lambda m: m == a)).cast("string"), F.lit("")))
+    rows = F.concat(of_unit("result", "metric_name", "value_raw_text"), of_unit("claim", "polarity", "statement"), merges)
+    return d.select("paper_id", F.explode_outer(rows).alias("r")).select("paper_id", "r.*").filter("kind IS NOT NULL")
 
 
 QUERIES = {

@@ -10,7 +10,7 @@ from decimal import Decimal
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 #: Marks that profile matching treats as blanks (fixed values).
 SEPARATORS = "_-/;,|:()[]{}"
@@ -132,6 +132,12 @@ def canonical_json(text: pd.Series) -> pd.Series:
     return text.map(lambda x: json_text(json.loads(x)), na_action="ignore")
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def canonical_jsons(texts: pd.Series) -> pd.Series:
+    """``canonical_json`` of each text of a list."""
+    return texts.map(lambda xs: [x if x is None else json_text(json.loads(x)) for x in xs], na_action="ignore")
+
+
 def decimal_text(value: str | float) -> str:
     """A number without exponent or trailing zeros."""
     number = Decimal(str(value))
@@ -154,6 +160,40 @@ def scientific(c: Column, compose: bool = True) -> Column:
     return collapse(F.regexp_replace(plain, r"(?U)[^\w.%<>=!+\-/]+", " "))
 
 
+#: What a folded ASCII text has if its scientific form differs from it.
+_UNLIKE = r"[^a-z0-9_.%<>=!+/\- ]|  |^ | $"
+
+
+def scientific_short(c: Column) -> Column:
+    """``scientific`` of a composed text; one that is in that form once folded isn't rewritten."""
+    low = F.lower(c)
+    return F.when(low.rlike(_UNLIKE), scientific(c, False)).otherwise(low)
+
+
+def json_string(c: Column) -> Column:
+    """A text as ``json_text`` writes it, null as ``null``."""
+    out = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    for x in ['"', *map(chr, range(32))]:
+        out = F.replace(out, F.lit(x), F.lit(json.dumps(x)[1:-1]))
+    return F.coalesce(F.concat(F.lit('"'), F.when(c.rlike(r'[\x00-\x1f"\\]'), out).otherwise(c), F.lit('"')), F.lit("null"))
+
+
+def lower_escapes(c: Column) -> Column:
+    """JSON text of ``to_json`` with escapes of control characters as ``json_text`` writes them: ``\\u001f``, not ``\\u001F``."""
+    out = c
+    for x in ("0B", "0E", "0F", "1A", "1B", "1C", "1D", "1E", "1F"):
+        out = F.regexp_replace(out, rf"(?<!\\)((?:\\\\)*)\\u00{x}", rf"$1\\u00{x.lower()}")
+    return F.when(F.contains(c, F.lit("\\u00")), out).otherwise(c)
+
+
+def sorted_keys(c: Column, kind: DataType) -> Column:
+    """A nested column with the fields of its structs in order of their names: ``to_json`` of it has sorted keys."""
+    if isinstance(kind, StructType):
+        parts = [sorted_keys(c[f.name], f.dataType).alias(f.name) for f in sorted(kind.fields, key=lambda f: f.name)]
+        return F.when(c.isNotNull(), F.struct(*parts))
+    return F.transform(c, lambda x: sorted_keys(x, kind.elementType)) if isinstance(kind, ArrayType) and not isinstance(kind.elementType, StringType) else c
+
+
 #: What counts as a token of a normalised text (fixed value).
 TOKEN = r"(?:e|p)\d+(?:\.\d+)?|[a-z][a-z0-9]*(?:-[a-z0-9]+)*|\d+(?:\.\d+)?|[%<>]=?|[=!+\-/]"
 

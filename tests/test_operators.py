@@ -330,6 +330,28 @@ def test_merging_keeps_everything_and_settles(spark):
     assert bare.research_questions == [] and bare.merge_decisions == []
 
 
+def test_merging_within_rows_shuffles_and_stores_nothing(spark):
+    """Ids are those of the plan, which takes packets apart; texts and numbers that only Python writes alike are among them."""
+    from evidentia.operators import canonical_plan as C
+    from evidentia.sources import shared
+
+    p = packet(paper_id='a"\x1f\\')
+    u = p["research_questions"][0]["study_units"][0]
+    r = u["results"][0]
+    u["results"] = [r, r | {"result_id": "R2", "value_raw_text": "５ µg", "p_value": 1.5e-8}, r | {"result_id": "R3", "value_raw_text": "5 ug", "p_value": 1.5e-8, "provenance": prov("c2", retold=True)}, r | {"result_id": "R4", "quantitative_value": 0.125, "unit": "hours"}]
+    u["claims"].append(u["claims"][0] | {"claim_id": "C2", "inference_basis_ids": ["R2", "R3"], "polarity": "neutral", "statement": "Not ﬁrst, no change"})
+    d = table(spark, p)
+    before = len(shared._written)
+    done = merging.canonicalize(d)
+    assert len(shared._written) == before and "Exchange" not in done._jdf.queryExecution().executedPlan().toString()
+    row, planned = done.first(), C.plan(d).collect()
+    units = row.research_questions[0].study_units
+    assert sorted(x.canonical_id for x in planned) == sorted([u.unit_id for u in units] + [x.result_id for u in units for x in u.results] + [x.claim_id for u in units for x in u.claims])
+    (m,) = row.merge_decisions
+    digest = next(x.digest for x in planned if x.canonical_id == m.surviving_id)
+    assert m.merged_ids == ["R2", "R3"] and m.reason == json.dumps(json.loads(m.reason), ensure_ascii=False, sort_keys=True, separators=(",", ":")) and json.loads(m.reason)["canonical_key_digest"] == digest
+
+
 def test_unknown_basis_stops_the_merge(spark):
     p = packet()
     p["research_questions"][0]["study_units"][0]["claims"][0]["inference_basis_ids"] = ["R9"]
